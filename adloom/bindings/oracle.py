@@ -412,7 +412,7 @@ GROUP BY GROUPING SETS ((date_start, adset_id), (date_start, campaign_id), (date
          CAST(o_orderdate AS DATE) + CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 100 AS end_date FROM orders
 ), sets AS (
   SELECT adset_id, min(start_date) AS start_date, max(start_date) AS end_date FROM a GROUP BY 1
-), j AS (SELECT * FROM f JOIN p USING (ad_id)), b AS (SELECT min(date_start) AS lo, max(date_start) AS hi FROM j), u AS (
+), j AS (SELECT * FROM f JOIN p USING (ad_id)), b AS (SELECT min(date_start) AS lo, max(date_start) AS hi FROM f), u AS (
   SELECT 'ad' AS level, ad_id AS id, any_value(start_date) AS date_start, any_value(end_date) AS date_stop, sum(spend) AS spend,
          sum(impressions) AS impressions, sum(clicks) AS clicks FROM j JOIN a USING (ad_id) GROUP BY ad_id
   UNION ALL

@@ -542,16 +542,18 @@ def rollup_lifetime(spark, sf_dir):
     set_lives = ads.groupBy("adset_id").agg(
         F.min("start_date").alias("start_date"), F.max("start_date").alias("end_date")
     )
-    levels = {"ad": ad_lives, "adset": set_lives, "campaign": None}
+    days = t.ad_facts(spark, sf_dir)
+    bounds = (days.select(F.min("date_start")).scalar(), days.select(F.max("date_start")).scalar())
+    levels = {"ad": (ad_lives, None), "adset": (set_lives, None), "campaign": (None, bounds)}
     named = [
-        rollup.lifetime_totals(report, level, lives, metrics).select(
+        rollup.lifetime_totals(report, level, lives, span, metrics).select(
             F.lit(level).alias("level"),
             F.col(rollup.LEVELS[level]).cast("bigint").alias("id"),
             "date_start",
             "date_stop",
             *metrics,
         )
-        for level, lives in levels.items()
+        for level, (lives, span) in levels.items()
     ]
     return plain(search.union_breakdowns(*named))
 

@@ -78,7 +78,8 @@ def parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily ad metrics with the ids of all parents, for the roll-ups."""
-    keys = parents(spark, sf_dir).select("ad_id", "adset_id", "campaign_id", "account_id", "daily_budget")
+    resolved = resolve_ads(ads(spark, sf_dir), adsets(spark, sf_dir), campaigns(spark, sf_dir))
+    keys = resolved.select("ad_id", "adset_id", "campaign_id", "account_id", "daily_budget")
     facts = ad_facts(spark, sf_dir).select(
         "ad_id", "date_start", "spend", "impressions", "clicks", "new_messaging_connections"
     )

@@ -13,17 +13,15 @@ def resolve_ads(
 ) -> DataFrame:
     """Join the dimensions among themselves: one row per ad with all its parents.
 
-    The chain runs on the dimension side, so that a fact joined to the result is shuffled
-    once (on ``ad_id``) instead of once per level. No side is broadcast by a hint: Spark
-    broadcasts a dimension only if its measured size is under the threshold, and AQE splits
-    a skewed partition otherwise.
+    The chain runs on the dimension side and from the top down, so every level is shuffled
+    once, on its parent's key, and a fact joined to the result is shuffled once, on
+    ``ad_id``. No side is broadcast by a hint: Spark broadcasts a dimension only if its
+    measured size is under the threshold, and AQE splits a skewed partition otherwise.
     """
-    resolved = ads.join(adsets, "adset_id")
-    if campaigns is not None:
-        resolved = resolved.join(campaigns, "campaign_id")
-    if accounts is not None:
-        resolved = resolved.join(accounts, "account_id")
-    return resolved
+    top = campaigns
+    if campaigns is not None and accounts is not None:
+        top = campaigns.join(accounts, "account_id")
+    return ads.join(adsets if top is None else adsets.join(top, "campaign_id"), "adset_id")
 
 
 def attach_parents(fact: DataFrame, resolved_ads: DataFrame) -> DataFrame:

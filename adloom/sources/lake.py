@@ -12,14 +12,10 @@ from pyspark.sql import types as T
 from adloom.schemas import landing_schema
 
 
-def landing_glob(
-    root: str,
-    table: str,
-    start: datetime.date | None = None,
-    end: datetime.date | None = None,
-    files: str = "*.json",
+def landing_folder(
+    root: str, table: str, start: datetime.date | None = None, end: datetime.date | None = None
 ) -> str:
-    """Path pattern of a table, limited to a range of landing days if both bounds are given.
+    """Folder of a table, or the pattern of its day folders if both bounds are given.
 
     Whole years and months collapse into one alternative, so the pattern grows with the
     number of months in the range and listing touches only folders inside it. A folder may
@@ -27,26 +23,30 @@ def landing_glob(
     """
     base = f"{root.rstrip('/')}/{table}"
     if start is None or end is None:
-        return f"{base}/*/*/*/*/*/{files}"
+        return base
     if start > end:
         raise ValueError("start must not be after end")
     parts: list[str] = []
     year, month = start.year, start.month
     while (year, month) <= (end.year, end.month):
         if month == 1 and start <= datetime.date(year, 1, 1) and datetime.date(year, 12, 31) <= end:
-            parts.append(f"*{year}/*/*")
+            parts.append(f"*{year}")
             year += 1
             continue
         last = calendar.monthrange(year, month)[1]
         first_day = start.day if (year, month) == (start.year, start.month) else 1
         last_day = end.day if (year, month) == (end.year, end.month) else last
         if (first_day, last_day) == (1, last):
-            parts.append(f"*{year}/*{month:02d}/*")
+            parts.append(f"*{year}/*{month:02d}")
         else:
             parts += [f"*{year}/*{month:02d}/*{day:02d}" for day in range(first_day, last_day + 1)]
         year, month = (year + 1, 1) if month == 12 else (year, month + 1)
-    pattern = parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}"
-    return f"{base}/{pattern}/*/*/{files}"
+    return f"{base}/{parts[0]}" if len(parts) == 1 else f"{base}/{{{','.join(parts)}}}"
+
+
+def _options(array_files: bool, files: str) -> dict[str, str]:
+    """Reader options. Minute folders are listed recursively (in parallel), not by wildcards."""
+    return {"multiLine": str(array_files).lower(), "recursiveFileLookup": "true", "pathGlobFilter": files}
 
 
 def read_landing(
@@ -66,9 +66,9 @@ def read_landing(
     split: one task each); files of one object per line are split by size.
     """
     declared = schema or landing_schema(table)
-    reader = spark.read.schema(declared).option("multiLine", str(array_files).lower())
+    reader = spark.read.schema(declared).options(**_options(array_files, files))
     try:
-        return reader.json(landing_glob(root, table, start, end, files))
+        return reader.json(landing_folder(root, table, start, end))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -81,12 +81,13 @@ def stream_landing(
     table: str,
     schema: T.StructType | None = None,
     array_files: bool = True,
+    files: str = "*.json",
     max_files: int = 10_000,
 ) -> DataFrame:
     """The landing table as a stream of new files: each file is read once, not on every run."""
     return (
         spark.readStream.schema(schema or landing_schema(table))
-        .option("multiLine", str(array_files).lower())
+        .options(**_options(array_files, files))
         .option("maxFilesPerTrigger", max_files)
-        .json(landing_glob(root, table))
+        .json(landing_folder(root, table))
     )

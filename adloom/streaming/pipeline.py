@@ -27,33 +27,46 @@ def route(messages: DataFrame, platform: str, report_type: str) -> DataFrame:
     return messages.filter((F.col("platform") == platform) & (F.col("report_type") == report_type))
 
 
-def build_tables(messages: DataFrame) -> Tables:
-    """Every warehouse table fed by a batch of decoded messages; the same for batch and stream.
+def routed_report(messages: DataFrame, platform: str, report_type: str) -> DataFrame:
+    """The cleaned report of one type; the envelope's ingest time is the version of its rows.
 
-    The envelope's ingest time is the version of the rows, so a later restatement of a key
-    wins whatever the order in which batches arrive.
+    A later restatement of a key therefore wins, whatever the order in which batches arrive.
     """
+    rows = parse_payload(route(messages, platform, report_type), report_type)
+    return star.normalise(rows.withColumn("updated_at", F.try_to_timestamp("ingested_at")))
+
+
+def build_tables(messages: DataFrame) -> Tables:
+    """Every warehouse table fed by a frame of decoded messages; the same for batch and stream."""
     tables: Tables = {}
     for (platform, report_type), build in ROUTES.items():
-        rows = parse_payload(route(messages, platform, report_type), report_type)
-        ingested = F.try_to_timestamp(F.col("ingested_at"))
-        report = star.normalise(rows.withColumn("updated_at", ingested))
-        tables.update(build(report))
+        tables.update(build(routed_report(messages, platform, report_type)))
     return tables
 
 
 def write_batch(warehouse_root: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes one micro-batch to all its tables.
 
-    The load id is the epoch: a batch replayed after a failure overwrites its own rows. An
-    error stops the query, and the checkpoint does not advance past an unwritten batch.
+    The source is read once and each payload parsed once: the decoded batch and the report
+    in hand stay cached while their tables are written; their size is bounded by the source's
+    limit per trigger. The load id is the epoch, so a batch replayed after a failure
+    overwrites its own rows. An error stops the query, and the checkpoint does not advance
+    past an unwritten batch.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
+        load_id = f"epoch-{epoch:012d}"
         batch.persist()
         try:
-            for table, frame in build_tables(batch).items():
-                warehouse.append(frame, warehouse_root, table, f"epoch-{epoch:012d}")
+            for (platform, report_type), build in ROUTES.items():
+                report = routed_report(batch, platform, report_type).persist()
+                try:
+                    if report.isEmpty():
+                        continue
+                    for table, frame in build(report).items():
+                        warehouse.append(frame, warehouse_root, table, load_id)
+                finally:
+                    report.unpersist()
         finally:
             batch.unpersist()
 
