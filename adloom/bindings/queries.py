@@ -450,10 +450,11 @@ def cross_breakdown_cells(spark, sf_dir):
 
 @query
 def alloc_weights(spark, sf_dir):
-    rows = t.targeted_totals(spark, sf_dir).select("ad_id", "adset_name")
-    weights = allocation.demographic_weights(text.audience(F.col("adset_name")))
+    targeted = {f"__{k}": v for k, v in text.audience(F.col("adset_name")).items()}
+    rows = t.targeted_totals(spark, sf_dir).select("ad_id", "adset_name").withColumns(targeted)
+    weights = allocation.demographic_weights(*[F.col(c) for c in targeted])
     cells = [{**cell, "weight": w} for cell, w in zip(allocation.DEMOGRAPHIC_CELLS, weights)]
-    return allocation.emit_cells(rows, cells).drop("adset_name")
+    return allocation.emit_cells(rows, cells).drop("adset_name", *targeted)
 
 
 @query
@@ -648,7 +649,7 @@ def hash_sample(spark, sf_dir):
 @query
 def classify_targeting(spark, sf_dir):
     rows = t.adsets(spark, sf_dir).select("adset_id", t.audience_name(F.col("segment")).alias("adset_name"))
-    return rows.select("*", text.audience(F.col("adset_name")).alias("a")).select("adset_id", "adset_name", "a.*")
+    return rows.withColumns(text.audience(F.col("adset_name")))
 
 
 @query

@@ -31,8 +31,11 @@ def to_money(c: Column) -> Column:
 
 
 def to_day(c: Column) -> Column:
-    """``yyyy-MM-dd`` text to date; malformed text is NULL."""
-    return F.try_to_date(c, "yyyy-MM-dd")
+    """``yyyy-MM-dd`` text to date; malformed text is NULL.
+
+    A shape check plus the plain cast is several times cheaper per row than a pattern parser.
+    """
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), c.try_cast("date"))
 
 
 def to_instant(c: Column) -> Column:

@@ -57,16 +57,17 @@ def emit_cells(df: DataFrame, cells, ordinal: str | None = None) -> DataFrame:
     )
 
 
-def demographic_weights(audience: Column) -> list[Column]:
+def demographic_weights(gender: Column, age_min: Column, age_max: Column) -> list[Column]:
     """Weight of each age×gender cell for a targeted audience (see ``text.audience``)."""
     weights = []
     for cell in DEMOGRAPHIC_CELLS:
         youngest = int(cell["age"].split("-")[0].rstrip("+"))
-        outside = (F.lit(youngest) < audience["age_min"]) | (F.lit(youngest) > audience["age_max"])
-        other = audience["gender"] != cell["gender"]
+        outside = (age_min > youngest) | (age_max < youngest)
+        other = gender != cell["gender"]
         base = AGE_BASE.get(cell["age"], WEIGHT_UNIT)
-        divisor = F.when(outside, OUT_OF_AGE).otherwise(1) * F.when(other, OTHER_GENDER).otherwise(1)
-        weights.append((F.lit(base) / divisor).cast("long"))
+        in_age = F.when(other, base // OTHER_GENDER).otherwise(base)
+        off_age = F.when(other, base // OUT_OF_AGE // OTHER_GENDER).otherwise(base // OUT_OF_AGE)
+        weights.append(F.when(outside, off_age).otherwise(in_age).cast("long"))
     return weights
 
 
@@ -108,13 +109,9 @@ def allocate(
     money = {m for m in metrics if isinstance(kinds[m], T.DecimalType)}
     kept = [c for c in df.columns if c not in metrics]
 
-    totals = {
-        m: F.coalesce((F.col(m) * 100 if m in money else F.col(m)).cast("long"), F.lit(0)).alias(m)
-        for m in metrics
-    }
     staged = df.select(
         *kept,
-        *totals.values(),
+        *[_whole(m, m in money).alias(m) for m in metrics],
         *[w.cast("double").alias(f"__w{i}") for i, w in enumerate(weights)],
     )
     if denominator is None:
@@ -145,8 +142,17 @@ def allocate(
     return emitted.withColumns({m: _cents_to_money(F.col(m)) for m in money}) if money else emitted
 
 
+def _whole(metric: str, money: bool) -> Column:
+    """A total as a whole number: a counter, or money in cents; missing counts as 0.
+
+    The way through double is exact up to 2**53 cents and far cheaper than decimal products.
+    """
+    value = F.rint(F.col(metric).cast("double") * 100) if money else F.col(metric)
+    return F.coalesce(value.cast("long"), F.lit(0))
+
+
 def _cents_to_money(cents: Column) -> Column:
-    return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(clean.MONEY)
+    return (cents / F.lit(100.0)).cast(clean.MONEY)
 
 
 def allocate_items(
@@ -166,7 +172,7 @@ def allocate_items(
         )
 
     staged = df.filter(F.size(items) > 0).withColumns(
-        {m: F.coalesce((F.col(m) * 100 if m in money else F.col(m)).cast("long"), F.lit(0)) for m in metrics}
+        {m: _whole(m, m in money) for m in metrics}
     ).withColumn("__den", denominator.cast("double"))
     lead = F.slice(weights, 1, F.size(items) - 1)
 

@@ -12,11 +12,11 @@ from adloom.operators.rollup import present_metrics
 
 def demographic_rows(report: DataFrame, name: str = "adset_name", metrics: list[str] | None = None) -> DataFrame:
     """Ad-day totals split over the age×gender cells, weighted by the audience in the ad-set name."""
-    with_audience = report.withColumn("__audience", text.audience(F.coalesce(name, F.lit(""))))
+    targeted = {f"__{k}": v for k, v in text.audience(F.coalesce(name, F.lit(""))).items()}
     rows = allocation.allocate(
-        with_audience,
+        report.withColumns(targeted),
         metrics or present_metrics(report),
         allocation.DEMOGRAPHIC_CELLS,
-        allocation.demographic_weights(F.col("__audience")),
+        allocation.demographic_weights(*[F.col(c) for c in targeted]),
     )
-    return rows.drop("__audience")
+    return rows.drop(*targeted)
