@@ -1,16 +1,13 @@
 """Split an entity's totals over breakdown cells.
 
-All splits are computed inside the entity's own row: the totals of the leading cells and the
-remainder of the last one are column expressions, and one generator emits the cells. There
+All splits are computed inside the entity's own row: the remainder that the last cell gets is
+a column expression, and one generator emits the cells. There
 is no join, no window and no shuffle, so the plan is the same at any scale and no entity can
 become a hot group.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +48,7 @@ def emit_cells(df: DataFrame, cells, ordinal: str | None = None) -> DataFrame:
     literals = []
     for position, cell in enumerate(cells):
         literals += [F.lit(position + 1)] if ordinal else []
-        literals += [c if isinstance(c, Column) else F.lit(c) for c in (cell[n] for n in names)]
+        literals += [_literal(cell[n]) for n in names]
     return df.select(
         "*", F.stack(F.lit(len(cells)), *literals).alias(*([ordinal] if ordinal else []), *names)
     )
@@ -104,42 +101,13 @@ def allocate(
     cell gets what is left, which is negative if the leading shares exceed 1. Decimal
     metrics are split in cents, all others as whole numbers. Other columns are kept.
     """
-    names = list(cells[0])
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    money = {m for m in metrics if isinstance(kinds[m], T.DecimalType)}
-    kept = [c for c in df.columns if c not in metrics]
-
-    staged = df.select(
-        *kept,
-        *[_whole(m, m in money).alias(m) for m in metrics],
-        *[w.cast("double").alias(f"__w{i}") for i, w in enumerate(weights)],
-    )
-    if denominator is None:
-        weight_sum = reduce(add, [F.col(f"__w{i}") for i in range(len(weights))])
-        denominator = F.greatest(F.lit(WEIGHT_FLOOR), weight_sum)
-    staged = staged.withColumn("__den", denominator.cast("double"))
+    items = F.array(*[F.struct(*[_literal(value).alias(name) for name, value in cell.items()]) for cell in cells])
+    listed = df.withColumns({"__items": items, "__weights": F.array(*[w.cast("double") for w in weights])})
+    return allocate_items(listed, metrics, "__items", "__weights", denominator)
 
-    leading = range(len(cells) - 1)
-    split = staged.select(
-        *kept,
-        *metrics,
-        *[
-            _part(F.col(m), F.col(f"__w{i}"), F.col("__den"), m in money).alias(f"__{m}_{i}")
-            for m in metrics
-            for i in leading
-        ],
-    )
-    last = len(cells) - 1
-    split = split.withColumns(
-        {f"__{m}_{last}": reduce(lambda left, i: left - F.col(f"__{m}_{i}"), leading, F.col(m)) for m in metrics}
-    )
 
-    rows = []
-    for i, cell in enumerate(cells):
-        rows += [c if isinstance(c, Column) else F.lit(c) for c in (cell[n] for n in names)]
-        rows += [F.col(f"__{m}_{i}") for m in metrics]
-    emitted = split.select(*kept, F.stack(F.lit(len(cells)), *rows).alias(*names, *metrics))
-    return emitted.withColumns({m: _cents_to_money(F.col(m)) for m in money}) if money else emitted
+def _literal(value) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
 
 
 def _whole(metric: str, money: bool) -> Column:
@@ -162,48 +130,46 @@ def allocate_items(
 
     ``weights`` is an array aligned with ``items``; lists may differ in length between rows,
     and a row without items emits nothing. Struct items are expanded into their fields.
+
+    Only the remainder of each metric is computed before the cells are generated; a cell's
+    own part is one product afterwards. This keeps the generated code small, however many
+    cells and metrics there are.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     money = {m for m in metrics if isinstance(kinds[m], T.DecimalType)}
     kept = [c for c in df.columns if c not in (*metrics, items, weights)]
     if denominator is None:
         denominator = F.greatest(
-            F.lit(WEIGHT_FLOOR), F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w.cast("double"))
+            F.lit(WEIGHT_FLOOR), F.aggregate(weights, F.lit(0.0), lambda total, w: total + w.cast("double"))
         )
 
-    staged = df.filter(F.size(items) > 0).withColumns(
-        {m: _whole(m, m in money) for m in metrics}
-    ).withColumn("__den", denominator.cast("double"))
-    lead = F.slice(weights, 1, F.size(items) - 1)
+    totals = df.withColumns({m: _whole(m, m in money) for m in metrics}).withColumn(
+        "__den", denominator.cast("double")
+    )
+    last = F.greatest(F.size(items) - 1, F.lit(0))
 
     def remainder(metric: str) -> Column:
-        return F.aggregate(
-            lead,
-            F.col(metric),
-            lambda left, w: left - _part(F.col(metric), w.cast("double"), F.col("__den"), metric in money),
-        )
+        def subtract(left: Column, weight: Column) -> Column:
+            return left - _part(F.col(metric), weight.cast("double"), F.col("__den"), metric in money)
+
+        return F.aggregate(F.slice(weights, 1, last), F.col(metric), subtract)
 
-    staged = staged.withColumns({f"__last_{m}": remainder(m) for m in metrics})
-    last = F.size(items) - 1
-    exploded = staged.select(
+    cells = totals.select(
         *kept,
         *metrics,
-        *[f"__last_{m}" for m in metrics],
+        *[remainder(m).alias(f"__rest_{m}") for m in metrics],
         "__den",
-        last.alias("__n"),
-        F.posexplode(F.arrays_zip(F.col(items).alias("item"), F.col(weights).alias("weight"))).alias("__i", "__z"),
+        last.alias("__last"),
+        F.posexplode(F.arrays_zip(F.col(items).alias("item"), F.col(weights).alias("weight"))).alias("__i", "__cell"),
     )
-    weight = F.col("__z.weight").cast("double")
-    parts = [
-        F.when(F.col("__i") == F.col("__n"), F.col(f"__last_{m}"))
-        .otherwise(_part(F.col(m), weight, F.col("__den"), m in money))
-        .alias(m)
-        for m in metrics
-    ]
-    item_type = kinds[items].elementType
-    item = [F.col("__z.item.*")] if isinstance(item_type, T.StructType) else [F.col("__z.item").alias(items)]
-    result = exploded.select(*kept, *item, *parts)
-    return result.withColumns({m: _cents_to_money(F.col(m)) for m in money}) if money else result
+    parts = []
+    for m in metrics:
+        part = _part(F.col(m), F.col("__cell.weight").cast("double"), F.col("__den"), m in money)
+        whole = F.when(F.col("__i") == F.col("__last"), F.col(f"__rest_{m}")).otherwise(part)
+        parts.append((_cents_to_money(whole) if m in money else whole).alias(m))
+    structs = isinstance(kinds[items].elementType, T.StructType)
+    item = F.col("__cell.item.*") if structs else F.col("__cell.item").alias(items)
+    return cells.select(*kept, item, *parts)
 
 
 def share_weights(seed: Column, size: int) -> list[Column]:
