@@ -246,7 +246,7 @@ SELECT id, coalesce(name, '') AS name, adset_id, adset_name, campaign_id, campai
        impressions, reach, clicks, 0 AS messaging_first_reply, coalesce(messages, 0) AS new_messaging_connections,
        0 AS post_comments, link_clicks, landing_page_views, 0 AS page_likes, 0 AS thru_play
 FROM r""",
-    "latest_row_per_key": """
+    "latest_version": """
 SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate, l_partkey, l_extendedprice FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                            ORDER BY CAST(l_shipdate AS DATE) DESC, l_partkey DESC, l_extendedprice DESC) = 1""",
@@ -428,6 +428,21 @@ SELECT level, CAST(id AS BIGINT) AS id, date_start, date_stop, CAST(spend AS DOU
          CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS BIGINT) AS all_conversions FROM d GROUP BY 1, 2
 )
 SELECT *, CASE WHEN impressions > 0 THEN clicks / impressions ELSE 0 END AS ctr_fraction FROM x""",
+    "daily_reports": f"""WITH {FACTS}, {CAMPAIGN_OF_AD}, j AS (
+  SELECT f.*, p.adset_id, p.campaign_id, p.account_id, p.campaign_name, c_name, r_name
+  FROM f JOIN p USING (ad_id) JOIN customer ON adset_id = c_custkey JOIN region ON account_id = r_regionkey
+), u AS (
+  SELECT 'adset' AS level, date_start, adset_id AS id, c_name AS name, spend, clicks FROM j
+  UNION ALL SELECT 'campaign', date_start, campaign_id, campaign_name, spend, clicks FROM j
+  UNION ALL SELECT 'account', date_start, account_id, r_name, spend, clicks FROM j
+)
+SELECT level, date_start, CAST(id AS BIGINT) AS id, name, CAST(sum(spend) AS DOUBLE) AS spend, CAST(sum(clicks) AS BIGINT) AS clicks
+FROM u GROUP BY ALL""",
+    "search_reports": f"""WITH {SEARCH}
+SELECT date_start, n_regionkey AS id, r_name AS name, CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
+       CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS BIGINT) AS all_conversions,
+       CAST(sum(clicks) AS DOUBLE) / sum(impressions) AS ctr_fraction
+FROM g JOIN nation ON campaign_id = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3""",
     "rollup_campaign_totals": f"""WITH {SEARCH}
 SELECT campaign_id, date_start, CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
        CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS BIGINT) AS all_conversions FROM g GROUP BY 1, 2""",

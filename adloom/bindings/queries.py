@@ -12,6 +12,7 @@ from adloom.bindings import tables as t
 from adloom.functions import calendar, clean, kpi, text
 from adloom.functions.aliases import canonicalise
 from adloom.operators import allocation, lifetimes, rollup
+from adloom.operators.hierarchy import join_group_values
 from adloom.operators.latest import latest_version
 from adloom.plans import batch, dashboards, search, social, star
 from adloom.plans.dates import dim_date
@@ -25,7 +26,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -300,7 +301,7 @@ def flat_report(spark, sf_dir):
 
 
 @query
-def latest_row_per_key(spark, sf_dir):
+def latest_version_query(spark, sf_dir):
     rows = t.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_partkey", "l_extendedprice"
     )
@@ -430,9 +431,8 @@ def join_active_interval(spark, sf_dir):
     ads = t.ads(spark, sf_dir)
     sets = ads.groupBy("adset_id").agg(F.min("start_date").alias("set_start"), F.max("start_date").alias("set_end"))
     length = F.substring("priority", 1, 1).cast("int") * 7
-    with_sets = ads.select(
-        "ad_id", "adset_id", "start_date", F.date_add("start_date", length).alias("end_date")
-    ).join(sets, "adset_id")
+    rows = ads.select("ad_id", "adset_id", "start_date", F.date_add("start_date", length).alias("end_date"))
+    with_sets = join_group_values(rows, sets, ["adset_id"])
     days = lifetimes.active_days(
         with_sets, [(F.col("set_start"), F.col("set_end")), (F.col("start_date"), F.col("end_date"))]
     )
@@ -567,6 +567,27 @@ def rollup_recompute_ctr(spark, sf_dir):
     return plain(rollup.search_totals(dirty, ["campaign_id", "date_start"]))
 
 
+@query
+def daily_reports(spark, sf_dir):
+    report = t.ad_days(spark, sf_dir)
+    sets = t.adsets(spark, sf_dir).select("adset_id", "adset_name")
+    campaigns = t.campaigns(spark, sf_dir).select("campaign_id", "campaign_name")
+    accounts = t.accounts(spark, sf_dir)
+    metrics = ["spend", "clicks"]
+    parts = [
+        social.level_report(report, level, names, metrics)
+        .withColumn("id", F.col("id").cast("bigint"))
+        .select(F.lit(level).alias("level"), "*")
+        for level, names in (("adset", sets), ("campaign", campaigns), ("account", accounts))
+    ]
+    return plain(search.union_breakdowns(*parts))
+
+
+@query
+def search_reports(spark, sf_dir):
+    return plain(search.level_report(t.search_ads(spark, sf_dir), "account", t.accounts(spark, sf_dir)))
+
+
 @query
 def rollup_campaign_totals(spark, sf_dir):
     return plain(rollup.campaign_totals(t.search_ads(spark, sf_dir)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.functions import clean, text
+from adloom.operators.hierarchy import join_group_values
 
 # The breakdown cells of the feeds.
 AGES = ("18-24", "25-34", "35-44", "45-54", "55-64", "65+")
@@ -71,14 +72,13 @@ def demographic_weights(gender: Column, age_min: Column, age_max: Column) -> lis
 def normalise(df: DataFrame, keys: list[str], weight: str, share: str = "share") -> DataFrame:
     """Weight divided by the sum of its group, the sum being at least 0.0001.
 
-    The group sums are aggregated first (map-side combine) and joined back. A window would
-    send a whole group to one task; here AQE can split the partition of a large group.
+    The group sums are aggregated with map-side combine and joined back, so that a large group
+    is spread over tasks.
     """
-    totals = df.groupBy(*keys).agg(F.sum(weight).alias("__total"))
-    joined = df.join(totals, keys)
-    floor = F.lit(WEIGHT_FLOOR)
+    totals = df.groupBy(*keys).agg(F.sum(weight).cast("double").alias("__total"))
+    joined = join_group_values(df, totals, keys)
     return joined.withColumn(
-        share, F.col(weight) / F.greatest(floor, F.col("__total").cast("double"))
+        share, F.col(weight) / F.greatest(F.lit(WEIGHT_FLOOR), F.col("__total"))
     ).drop("__total")
 
 

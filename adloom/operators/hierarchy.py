@@ -1,8 +1,11 @@
-"""Account → campaign → ad set → ad: parent lookups."""
+"""Account → campaign → ad set → ad: parent lookups, and group values joined back to rows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def resolve_ads(
@@ -27,3 +30,15 @@ def resolve_ads(
 def attach_parents(fact: DataFrame, resolved_ads: DataFrame) -> DataFrame:
     """Inner equi-join of a fact (or report) with the resolved ads."""
     return fact.join(resolved_ads, "ad_id")
+
+
+def join_group_values(df: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
+    """Join per-group values (an aggregate by ``keys``) back to the rows; NULL is a group too.
+
+    A window over ``keys`` would send a whole group to one task. Here the rows are one plain
+    exchange, and because the null-safe join does not accept the aggregate's own partitioning
+    the values are another, which is the form in which AQE can split a large group.
+    """
+    renamed = values.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+    return df.join(renamed, same).drop(*[f"__key_{k}" for k in keys])

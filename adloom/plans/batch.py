@@ -9,20 +9,28 @@ from pyspark.sql import functions as F
 
 from adloom.plans import star
 from adloom.plans.dates import dim_date
+from adloom.session import sized_shuffles
 from adloom.sinks import warehouse
 from adloom.sources.lake import read_landing
 
 
 def to_bronze(raw: DataFrame, warehouse_root: str, table: str, load_id: str) -> DataFrame:
-    """Write the cleaned report once as parquet and continue from there.
+    """Write the cleaned report once as parquet by month and continue from there.
 
     JSON arrays cannot be split or pruned, and ten outputs would parse them ten times. The
     parquet copy is read by column instead, needs no cache, and survives lost executors.
+    This is also the one shuffle that sorts rows into months: the facts are narrow
+    projections of it and are written without another one.
     """
     path = f"{warehouse_root.rstrip('/')}/bronze/{table}/load_id={load_id}"
-    report = star.normalise(raw).withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp()))
-    report.write.mode("overwrite").parquet(path)
-    return raw.sparkSession.read.schema(report.schema).parquet(path)
+    report = star.normalise(raw).withColumns(
+        {
+            "updated_at": F.coalesce("updated_at", F.current_timestamp()),
+            "ym": F.date_format("date_start", "yyyyMM"),
+        }
+    )
+    report.hint("rebalance", F.col("ym")).write.mode("overwrite").partitionBy("ym").parquet(path)
+    return raw.sparkSession.read.schema(report.schema).parquet(path).drop("ym")
 
 
 def run_batch(
@@ -41,18 +49,19 @@ def run_batch(
     """
     daily_raw = read_landing(spark, lake, "fad_ad_daily_report", start, end, array_files=array_files)
     demo_raw = read_landing(spark, lake, "fad_age_gender_detailed_report", start, end, array_files=array_files)
-    daily = to_bronze(daily_raw, warehouse_root, "fad_ad_daily_report", load_id)
-    demographics = to_bronze(demo_raw, warehouse_root, "fad_age_gender_detailed_report", load_id)
-
-    outputs = {
-        **star.ad_daily_tables(daily, default_status="ACTIVE"),
-        **star.creative_tables(daily),
-        **star.demographic_tables(demographics),
-        "dim_date": dim_date(daily),
-    }
-    written = {}
-    for table, frame in outputs.items():
-        rows = Observation(f"{table}-{load_id}")
-        warehouse.append(frame, warehouse_root, table, load_id, rows)
-        written[table] = rows.get.get("rows", 0)
+    with sized_shuffles(daily_raw, demo_raw):
+        daily = to_bronze(daily_raw, warehouse_root, "fad_ad_daily_report", load_id)
+        demographics = to_bronze(demo_raw, warehouse_root, "fad_age_gender_detailed_report", load_id)
+        outputs = {
+            **star.ad_daily_tables(daily, default_status="ACTIVE"),
+            **star.creative_tables(daily),
+            **star.demographic_tables(demographics),
+            "dim_date": dim_date(daily),
+        }
+        written = {}
+        for table, frame in outputs.items():
+            rows = Observation(f"{table}-{load_id}")
+            narrow = not table.startswith("dim_")
+            warehouse.append(frame, warehouse_root, table, load_id, rows, sorted_into_months=narrow)
+            written[table] = rows.get.get("rows", 0)
     return written

@@ -66,6 +66,18 @@ def breakdown(groups: DataFrame, cells, seed: Column) -> DataFrame:
     return with_search_ratios(parts)
 
 
+LEVELS = {"ad_group": "adgroup", "campaign": "campaign", "account": "account"}
+
+
+def level_report(rows: DataFrame, level: str, names: DataFrame) -> DataFrame:
+    """Daily report of ad groups, campaigns or accounts from finer rows, the ratio recomputed."""
+    key = f"{LEVELS[level]}_id"
+    totals = rollup.search_totals(rows, ["date_start", key])
+    return totals.join(names.withColumnRenamed(f"{LEVELS[level]}_name", "name"), key).select(
+        "date_start", F.col(key).alias("id"), "name", *rollup.SEARCH_METRICS, "ctr_fraction"
+    )
+
+
 def click_types(campaigns: DataFrame, seed: Column) -> DataFrame:
     """Campaign-day totals split by click type; parts are truncated one by one and need not add up."""
     cells = [{"click_type": name} for name in allocation.CLICK_TYPES]

@@ -94,8 +94,9 @@ def test_hierarchy(spark):
     assert rows(got) == [(1, "x", "acc"), (2, "x", "acc"), (3, "y", "acc")]
 
 
-def test_hot_ad_is_split_by_adaptive_execution(spark):
-    """A fact with a third of its rows on one ad: AQE splits that partition, results stay whole."""
+@pytest.fixture
+def eager_skew(spark):
+    """Thresholds under which the skew handling of AQE shows on test-sized data."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -104,19 +105,33 @@ def test_hot_ad_is_split_by_adaptive_execution(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        facts = spark.range(0, 300_000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000).alias("ad_id"), F.col("id").alias("spend")
-        )
-        parents = spark.range(5000).select(F.col("id").alias("ad_id"), (F.col("id") % 10).alias("campaign"))
-        got = attach_parents(facts, parents).groupBy("campaign").agg(F.sum("spend").alias("spend"), F.count("*").alias("n"))
-        assert sum(r.n for r in got.collect()) == 300_000
-        assert "skew=true" in plan(got)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def hot_facts(spark):
+    """A third of all rows on one ad."""
+    return spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000).alias("ad_id"), F.col("id").alias("spend")
+    )
+
+
+def test_hot_ad_is_split_in_the_parent_join(spark, eager_skew, hot_facts):
+    parents = spark.range(5000).select(F.col("id").alias("ad_id"), (F.col("id") % 10).alias("campaign"))
+    got = attach_parents(hot_facts, parents).groupBy("campaign").agg(F.sum("spend").alias("spend"), F.count("*").alias("n"))
+    assert sum(r.n for r in got.collect()) == 300_000
+    assert "skew=true" in plan(got)
+
+
+def test_hot_group_is_split_when_shares_are_normalised(spark, eager_skew, hot_facts):
+    got = allocation.normalise(hot_facts, ["ad_id"], "spend").agg(F.sum("share").alias("s"), F.count("*").alias("n"))
+    row = got.collect()[0]
+    assert row.n == 300_000 and round(row.s, 6) == hot_facts.select("ad_id").distinct().count()
+    assert "skew=true" in plan(got)
 
 
 # --- days ---
@@ -290,8 +305,9 @@ def test_demographic_weights_follow_the_audience(spark):
 
 
 def test_normalise(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 0.0)], "k string, w double")
-    assert rows(allocation.normalise(df, ["k"], "w").select("k", "share")) == [("a", 0.25), ("a", 0.75), ("b", 0.0)]
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 0.0), (None, 2.0)], "k string, w double")
+    got = allocation.normalise(df, ["k"], "w").select("k", "share")
+    assert rows(got) == [(None, 1.0), ("a", 0.25), ("a", 0.75), ("b", 0.0)]
 
 
 def test_emit_cells_needs_no_join(spark):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from adloom.plans import batch, dashboards, search, star
 from adloom.plans.dates import dim_date
 from adloom.schemas import LANDING, PAYLOADS, WAREHOUSE, landing_schema, payload_schema
-from adloom.session import work_dir
+from adloom.session import sized_shuffles, work_dir
 from adloom.sinks import files, warehouse
 from adloom.sinks.jdbc import append_jdbc, jdbc_options
 from adloom.sources import lake, messages
@@ -502,3 +502,14 @@ def test_no_python_workers_in_the_library():
             body = source_file.read()
         for word in ("InPandas", "pandas_udf", "F.udf", "mapInArrow", ".rdd", "toPandas", ".collect()", "localCheckpoint"):
             assert word not in body, (path, word)
+
+
+def test_shuffle_partitions_grow_with_the_input(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    unknown = spark.createDataFrame([], "a int")
+    with sized_shuffles(spark.range(10), unknown) as wanted:
+        assert wanted == int(before)
+    with sized_shuffles(spark.range(10**9), partition_bytes=10**8) as wanted:  # only its estimated size counts
+        assert wanted == 80 and spark.conf.get(key) == "80"
+    assert spark.conf.get(key) == before
