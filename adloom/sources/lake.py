@@ -7,6 +7,7 @@ import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.schemas import landing_schema
@@ -44,9 +45,18 @@ def landing_folder(
     return f"{base}/{parts[0]}" if len(parts) == 1 else f"{base}/{{{','.join(parts)}}}"
 
 
-def _options(array_files: bool, files: str) -> dict[str, str]:
-    """Reader options. Minute folders are listed recursively (in parallel), not by wildcards."""
-    return {"multiLine": str(array_files).lower(), "recursiveFileLookup": "true", "pathGlobFilter": files}
+def _load(reader, folder: str, schema: T.StructType, array_files: bool, files: str) -> DataFrame:
+    """Records below a folder, for a batch or a stream reader.
+
+    Minute folders are listed recursively (in parallel), not by wildcards. An array file is
+    read as one text and parsed from memory: the multi-line JSON reader instead seeks in the
+    file for every number that is declared as text, a request each on an object store.
+    """
+    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", files)
+    if not array_files:
+        return reader.schema(schema).json(folder)
+    texts = reader.text(folder, wholetext=True)
+    return texts.select(F.inline(F.from_json("value", T.ArrayType(schema))))
 
 
 def read_landing(
@@ -66,9 +76,8 @@ def read_landing(
     split: one task each); files of one object per line are split by size.
     """
     declared = schema or landing_schema(table)
-    reader = spark.read.schema(declared).options(**_options(array_files, files))
     try:
-        return reader.json(landing_folder(root, table, start, end))
+        return _load(spark.read, landing_folder(root, table, start, end), declared, array_files, files)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -85,9 +94,5 @@ def stream_landing(
     max_files: int = 10_000,
 ) -> DataFrame:
     """The landing table as a stream of new files: each file is read once, not on every run."""
-    return (
-        spark.readStream.schema(schema or landing_schema(table))
-        .options(**_options(array_files, files))
-        .option("maxFilesPerTrigger", max_files)
-        .json(landing_folder(root, table))
-    )
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    return _load(reader, landing_folder(root, table), schema or landing_schema(table), array_files, files)
