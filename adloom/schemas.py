@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from adloom.functions.aliases import spellings
@@ -293,13 +292,3 @@ def landing_schema(table: str) -> T.StructType:
 def payload_schema(report_type: str) -> T.StructType:
     """Parse schema of a stream payload."""
     return text_fields(PAYLOADS[report_type])
-
-
-def report_schema(*extra: T.StructField) -> T.StructType:
-    """The cleaned report schema plus extra columns."""
-    return T.StructType([*REPORT.fields, *extra])
-
-
-def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    """An empty frame with the columns of a warehouse table."""
-    return spark.createDataFrame([], WAREHOUSE[name].schema)

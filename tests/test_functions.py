@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from adloom.functions import calendar, clean, kpi, text
 from adloom.functions.aliases import CAMEL, HEADING, canonicalise, spellings
+from adloom.sinks.files import landing_path
 from tests.conftest import rows
 
 D = datetime.date
@@ -249,3 +250,7 @@ def test_sheet_name(spark):
 def test_inflation_formula(spark):
     value = one(spark, 1 + F.log10(F.greatest(F.lit(1.0), F.lit(100000.0) / 50000)))
     assert value == pytest.approx(1 + math.log10(2))
+
+
+def test_landing_path(spark):
+    assert one(spark, landing_path(F.lit("2026-01-02 03:04:05").cast("timestamp"))) == "2026/01/02/03/04"

@@ -6,8 +6,6 @@ import datetime
 import glob
 import json
 import os
-import subprocess
-import sys
 from decimal import Decimal
 
 import pytest
