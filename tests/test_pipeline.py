@@ -492,6 +492,13 @@ def test_entry_points(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
+def test_bench_names_registered_queries():
+    import __spark_entry__ as entry
+    import bench
+
+    assert set(bench.HEADLINE) <= set(entry.queries())
+
+
 def test_no_python_workers_in_the_library():
     """Executors need neither this package nor a Python worker."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
