@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import mixing, sharding, simhash
+from adloom.llm import byte_bpe, language_id, mixing, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +82,20 @@ def op10_simhash_anchors(spark, sf_dir):
     """SimHash fingerprints of all documents, linked at 3 differing bits or fewer."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "kept")
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    """Language of every document, learned from the labelled three quarters."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
+@query
+def op9_byte_bpe(spark, sf_dir):
+    """Token ids of every document, and their decoding, as digests."""
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, decode=True)
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return coded.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
