@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import byte_bpe, language_id, mixing, sharding, simhash
+from adloom.llm import byte_bpe, language_id, mixing, secrets_scan, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op5_secret_cnn(spark, sf_dir):
+    """Secrets in every document: rules, and the network's additions."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets_scan.scan(docs, secrets_scan.train(docs))
+    of = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("findings", lambda x: x["kind"] != "learned")
+    return found.select(
+        "doc_id",
+        *[of(kind) for kind in secrets_scan.KINDS],
+        F.sha2(secrets_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets_scan.listed(F.col("findings")).alias("spans"),
+    )
+
+
 @query
 def op6_source_mix(spark, sf_dir):
     """Mix all documents to source weights 1, 2, 3, repeating; three epochs at most."""
