@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import byte_bpe, language_id, mixing, secrets_scan, sharding, simhash
+from adloom.llm import byte_bpe, html_extract, language_id, mixing, quality, secrets_scan, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_repetition_rules(spark, sf_dir):
+    """Quality measures and verdicts of every document."""
+    return quality.rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_html_blocks(spark, sf_dir):
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 @query
 def op5_secret_cnn(spark, sf_dir):
     """Secrets in every document: rules, and the network's additions."""
