@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import byte_bpe, html_extract, language_id, mixing, quality, secrets_scan, sharding, simhash
+from adloom.llm import byte_bpe, embedding_dedup, html_extract, language_id, mixing, quality, secrets_scan, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_embedding_rotations(spark, sf_dir):
+    """Vectors linked at a cosine of 0.9 or more, and their components."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_repetition_rules(spark, sf_dir):
     """Quality measures and verdicts of every document."""
