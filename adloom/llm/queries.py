@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import byte_bpe, embedding_dedup, html_extract, language_id, mixing, quality, secrets_scan, sharding, simhash
+from adloom.llm import byte_bpe, embedding_dedup, html_extract, language_id, mixing, quality, secrets_scan, sharding, simhash, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that repeat a string of 100 bytes from earlier on, removed."""
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op2_embedding_rotations(spark, sf_dir):
     """Vectors linked at a cosine of 0.9 or more, and their components."""
