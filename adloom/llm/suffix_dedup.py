@@ -1,9 +1,9 @@
 """Removal of repeated byte strings by sorting suffixes, deep and shallow.
 
-A string of 100 bytes contains 64 substrings of 37 bytes; the one with the least hash (the leftmost of equals) is
+A string of 100 bytes contains 77 substrings of 24 bytes; the one with the least hash (the leftmost of equals) is
 its anchor. Equal strings have equal anchors at the same place, so only suffixes around anchors that occur
 twice need sorting, and they need sorting only among those of the same anchor. Consecutive starts with one anchor form a run, which
-travels as one piece of text.
+travels as one piece of text. Copies of whole documents are set aside before: all they hold starts earlier.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from adloom.llm.common import mix, powers, slices, utf8
 
 #: Bytes of a repeated string, starts that compete for an anchor, bytes of an anchor.
-LENGTH, STARTS = 100, 64
+LENGTH, STARTS = 100, 77
 ANCHOR = LENGTH - STARTS + 1
 #: Rows without an id come after all others, by a hash of their text.
 NO_ID = 1 << 62
@@ -43,8 +43,9 @@ def _chunk_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     reach = 1
     while reach < STARTS:
-        least = np.minimum(least[:-reach], least[reach:])
-        reach *= 2
+        step = min(reach, STARTS - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
     anchor = (least & low).astype(np.int64)
     shut = np.zeros(n + 1, np.int64)
     np.add.at(shut, np.maximum(ends - LENGTH + 1, 0), 1)
@@ -76,7 +77,7 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts (k, n, text) to their runs. One run of each anchor and batch asks under the anchor's hash whether
-    it occurs elsewhere; the batch's others are known to repeat and are dealt out evenly."""
+    it occurs elsewhere; the batch's others are known to repeat (the run's last bit) and are dealt out evenly."""
     for batch in batches:
         data, offsets = utf8(batch.column(2))
         row, first, last, anchor, hashes = runs(data, offsets)
@@ -87,11 +88,11 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known[order[:-1]] |= same
         k = batch.column(0).to_numpy()[row]
         route = np.where(again, mix(mix(k.view(np.uint64)) + anchor.astype(np.uint64)), hashes)
-        run = first << 12 | (anchor - first) << 6 | (last - first)
-        columns = [route.view(np.int64), k, batch.column(1).to_numpy()[row], run, known]
+        run = first << 15 | (anchor - first) << 8 | (last - first) << 1 | known
+        columns = [route.view(np.int64), k, batch.column(1).to_numpy()[row], run]
         for at in range(0, len(row), 1 << 16):
             part = [pa.array(c[at : at + (1 << 16)]) for c in columns]
-            yield pa.RecordBatch.from_arrays(part, ["route", "k", "n", "run", "known"])
+            yield pa.RecordBatch.from_arrays(part, ["route", "k", "n", "run"])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +108,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = np.repeat(np.arange(batch.num_rows), counts)
         mine = own == numbers[row]
         row, places = row[mine], places[mine]
-        first, off, span = places >> 12, places >> 6 & 63, places & 63
+        first, off, span = places >> 15, places >> 8 & 127, places >> 1 & 127
         order = np.lexsort((first, numbers[row], keys[row]))
         row, first, off, span = row[order], first[order], off[order], span[order]
         base = offsets[row] + first
@@ -125,6 +126,14 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 seen.add((o, text))
                 texts.append(text)
+        # Removed runs that touch travel as one.
+        end = first + span + LENGTH
+        joined = np.concatenate([[False], repeats[1:] & repeats[:-1] & (row[1:] == row[:-1]) & (first[1:] <= end[:-1])]) if len(row) else repeats
+        heads = np.flatnonzero(~joined)
+        last = np.append(heads[1:], len(row)) - 1
+        span = np.where(repeats[heads], end[last] - first[heads] - LENGTH, span[heads])
+        row, first, off, hashes, repeats = row[heads], first[heads], off[heads], hashes[heads], repeats[heads]
+        texts = [texts[i] for i in heads.tolist()]
         route = np.where(repeats, mix(mix(keys[row].view(np.uint64)) + first.astype(np.uint64)), hashes)
         columns = [route.view(np.int64), hashes.view(np.int64), keys[row], numbers[row], first, off, span]
         for at in range(0, len(row), 1 << 15):
@@ -223,7 +232,7 @@ def repeated(rows: dict[str, np.ndarray | list]) -> tuple[np.ndarray, np.ndarray
     """
     n = len(rows["hash"])
     tail = np.zeros((n, (LENGTH + 7) // 8 * 8), np.uint8)
-    head = np.zeros((n, STARTS), np.uint8)
+    head = np.zeros((n, (STARTS + 7) // 8 * 8), np.uint8)
     for i, (piece, off) in enumerate(zip(rows["piece"], rows["off"].tolist(), strict=True)):
         data = np.frombuffer(piece, np.uint8)
         tail[i, : len(data) - off] = data[off:]
@@ -306,15 +315,16 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts (k, n, text, copy, spans) to what is removed and what is left."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
         data, offsets = utf8(batch.column(2))
         raw = memoryview(data)
-        numbers = batch.column(1).to_numpy()
+        numbers, copies = batch.column(1).to_numpy(), batch.column(3).to_pylist()
         kept, lists = [], []
-        for row, found in enumerate(batch.column(3)):
+        for row, found in enumerate(batch.column(4)):
             low, high = int(offsets[row]), int(offsets[row + 1])
-            merged: list[list[int]] = []
+            merged = [[0, high - low]] if copies[row] and high - low >= LENGTH else []
             for n, start, end in sorted((s["n"], s["start"], s["end"]) for s in found.as_py() or ()):
                 if n != numbers[row]:
                     continue
@@ -343,25 +353,34 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Defined cases: a null text is empty; texts below 100 bytes stay whole; rows that share a doc_id are documents of their
     own, ordered by text; rows without an id come last, ordered by a hash of the text; an empty table gives none. Extra columns are ignored.
     A passage shared by any number of documents costs one row per task and variant, as equal pieces
-    are merged before they travel.
+    are merged before they travel; copies of whole texts (equal length and SHA-256) go no further than that.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     no_id = F.lit(NO_ID).cast("long") + F.shiftrightunsigned(F.xxhash64(text), 3)
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), no_id).alias("k"), text.alias("text"))
-    number = F.row_number().over(Window.partitionBy("k").orderBy("text"))
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), no_id).alias("k"), text.alias("text"))
+    # Later copies of whole texts, by digest: narrow rows only.
+    digests = plain.where(F.octet_length("text") >= LENGTH).select("k", F.sha2("text", 256).alias("digest"))
+    firsts = digests.groupBy("digest").agg(F.min("k").alias("first"), F.count("*").alias("many")).where("many > 1")
+    later = digests.join(firsts.select("digest", "first"), "digest").where("k > first")
+    later = later.groupBy("k").agg(F.collect_set("digest").alias("copied"))
+    by_id = Window.partitionBy("k").orderBy("text")
+    same_before = F.coalesce(F.lag("text").over(by_id) == F.col("text"), F.lit(False))
     # All three uses below read the same columns, so Spark shuffles the texts once.
-    texts = texts.select("k", number.alias("n"), "text")
-    asked = texts.mapInArrow(_candidates, "route long, k long, n int, run long, known boolean")
+    texts = plain.select("k", F.row_number().over(by_id).alias("n"), "text", same_before.alias("again")).join(later, "k", "left")
+    copied = F.when(F.col("copied").isNotNull(), F.array_contains("copied", F.sha2("text", 256))).otherwise(F.lit(False))
+    texts = texts.select("k", "n", "text", (F.col("again") | copied).alias("copy"))
+    asked = texts.where("not copy").select("k", "n", "text").mapInArrow(_candidates, "route long, k long, n int, run long")
     alike = Window.partitionBy("route")
-    asked = asked.select("k", "n", "run", (F.max("known").over(alike) | (F.count("*").over(alike) > 1)).alias("repeats"))
-    hits = asked.where("repeats").groupBy("k").agg(F.collect_list(F.struct("n", "run")).alias("hits"))
+    repeats = (F.max(F.col("run").bitwiseAND(F.lit(1).cast("long"))).over(alike) == 1) | (F.count("*").over(alike) > 1)
+    hits = asked.select("k", "n", "run", repeats.alias("repeats")).where("repeats")
+    hits = hits.groupBy("k").agg(F.collect_list(F.struct("n", "run")).alias("hits"))
     pieces = texts.join(hits, "k").select("k", "n", "text", "hits").mapInArrow(
         _pieces, "route long, hash long, k long, n int, first long, off long, span long, piece binary"
     )
     pieces = pieces.repartition("route").sortWithinPartitions("hash")
     spans = pieces.mapInArrow(_spans, "k long, n int, start long, end long")
     spans = spans.groupBy("k").agg(F.collect_list(F.struct("n", "start", "end")).alias("spans"))
-    out = texts.join(spans, "k", "left").select("k", "n", "text", "spans")
+    out = texts.join(spans, "k", "left").select("k", "n", "text", "copy", "spans")
     out = out.mapInArrow(_remove, "k long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     doc_id = F.when(F.col("k") < NO_ID, F.col("k"))
     return out.select(doc_id.alias("doc_id"), "n_bytes", "spans", "kept")
