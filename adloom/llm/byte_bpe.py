@@ -12,6 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Distinct words that a worker remembers before it starts anew; bounds its memory, not its result.
 REMEMBERED = 400_000
@@ -167,4 +168,5 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
             texts = [None if x is None else decode_ids(x, pieces) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", "binary"))
+    fields = [*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]
+    return encoded.mapInArrow(run, T.StructType(fields))
