@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Largest table of narrow rows, by count, that is broadcast.
+BROADCAST_ROWS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -42,6 +44,12 @@ def spool(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A checkpointed table, hinted for broadcast only if its counted rows are few; larger ones join by shuffle."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def key_column(name: str) -> Column:
     """A never-null join key of a nullable id; rows without an id share one key and are told apart by other means."""
     return F.coalesce(F.col(name).cast("long"), F.lit(2**63 - 1))

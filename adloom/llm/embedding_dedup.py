@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.common import components, cut, mix, spool
+from adloom.llm.common import components, mix, small, spool
 
 #: Vectors meant to share a table's bucket by chance, and the chance that a pair at the threshold shares one in some table.
 BUCKET = 512
-FOUND = 0.997
+FOUND = 0.9999
 #: Width of the confidence bounds in standard deviations of the estimate.
 EPSILON = 6.0
 #: Larger buckets are cut into parts of about this size, and every pair of parts is compared on its own.
@@ -215,7 +215,7 @@ def near_duplicates(
     width, count = tables(nodes.count(), threshold)
     plain = nodes.select("node", "copies", "vector")
     sizes = plain.mapInArrow(_enter(width, count, seed, dtype, False), "bucket long").groupBy("bucket").agg(F.count("*").alias("n"))
-    large = cut(sizes.where(F.col("n") > PART).select("bucket", F.ceil(F.col("n") / PART).cast("int").alias("parts")))
+    large = small(sizes.where(F.col("n") > PART).select("bucket", F.ceil(F.col("n") / PART).cast("int").alias("parts")))
     entered = plain.mapInArrow(_enter(width, count, seed, dtype, True), "bucket long, t int, node long, copies long, vector binary")
     entered = entered.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     entered = entered.withColumn("part", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("parts")).cast("int"))

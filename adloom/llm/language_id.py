@@ -247,7 +247,10 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
 
 def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose text the model accepts, all columns unchanged, in one pass without a shuffle."""
+    """The rows of docs whose text the model accepts, all columns unchanged, in one pass without a shuffle.
+
+    Without a model (no labelled rows) nothing is known to reject but texts without a letter.
+    """
     schema, at = docs.schema, docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

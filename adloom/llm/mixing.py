@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adloom.llm.common import WORD, cut, spool
+from adloom.llm.common import WORD, cut, small, spool
 
 #: Documents of a source are ordered by this many leading hex digits of their hash first; only
 #: the one cell that a source's last repetition ends in is ordered document by document.
 CELL_DIGITS = 3
-#: Largest table, by counted rows, that is broadcast: one row per source.
-BROADCAST_ROWS = 100_000
 
 
 def sizes(text_col: str = "text") -> Column:
@@ -68,12 +66,6 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed:
     )
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A checkpointed table, hinted for broadcast only if its counted rows are few; larger ones join by shuffle."""
-    df = cut(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _plan(places: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
     """Per source: source_size, target, whole repetitions, and the last place that is taken once more."""
     cells = places.groupBy("source", F.substring("digest", 1, CELL_DIGITS).alias("cell")).agg(F.sum("size").alias("cell_size"))
@@ -87,7 +79,7 @@ def _plan(places: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataF
     cells = cells.join(goal.select(F.col("source").alias("s"), "part"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     # The cells in which the part ends, one per source: only their documents are ordered one by one.
     last = cells.where("part > 0 and before < part and before + cell_size >= part")
-    last = _small(last.select(F.col("source").alias("s"), F.col("cell").alias("c"), "before", "part"))
+    last = small(last.select(F.col("source").alias("s"), F.col("cell").alias("c"), "before", "part"))
     inside = places.join(
         last, F.col("source").eqNullSafe(F.col("s")) & (F.substring("digest", 1, CELL_DIGITS) == F.col("c"))
     )
@@ -100,7 +92,7 @@ def _plan(places: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataF
         F.min(F.struct("digest", "size", "tie")).alias("cell_from"),
     )
     cuts = cuts.withColumnRenamed("source", "s")
-    return _small(goal.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
+    return small(goal.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
 
 
 def mix(
