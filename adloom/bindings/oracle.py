@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from adloom.operators.allocation import CLICK_TYPES, SEARCH_AGES, SEARCH_GENDERS
+# Fixed values of the feeds, stated here anew so that a wrong constant in the library shows.
+CLICK_TYPES = ("URL_CLICKS", "AD_IMAGE", "HEADLINE", "SITELINKS", "CALLS")
+SEARCH_AGES = tuple(f"AGE_RANGE_{a}" for a in ("18_24", "25_34", "35_44", "45_54", "55_64", "65_UP", "UNDETERMINED"))
+SEARCH_GENDERS = ("MALE", "FEMALE", "UNDETERMINED")
 
 FACTS = """
 f AS (
@@ -155,6 +158,7 @@ def current(table: str, keys: str, where: str = "TRUE") -> str:
 
 ORACLE: dict[str, str] = {
     "scan_json_lake": EVENT_ROWS,
+    "scan_json_lines": EVENT_ROWS,
     "scan_missing_table": EVENT_ROWS,
     "sink_json_partitioned": """
 SELECT strftime(date_trunc('day', ts) + INTERVAL 26 HOUR, '%Y/%m/%d/%H/%M') AS landing_path,

@@ -60,7 +60,18 @@ def _event_schema() -> T.StructType:
 def scan_json_lake(spark, sf_dir):
     root = work_dir(spark, "lake")
     files.write_landing_arrays(t.event_records(spark, sf_dir), root, "events", "landed_at")
-    return _typed_events(lake.read_landing(spark, root, "events", schema=_event_schema(), files="*.txt"))
+    return _typed_events(lake.read_landing(spark, root, "events", schema=_event_schema()))
+
+
+@query
+def scan_json_lines(spark, sf_dir):
+    """Files of lines and files of arrays side by side, read with default arguments."""
+    root = work_dir(spark, "lake")
+    records = t.event_records(spark, sf_dir)
+    even = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    files.write_landing(records.where(even), root, "events", "landed_at")
+    files.write_landing_arrays(records.where(~even), root, "events", "landed_at")
+    return _typed_events(lake.read_landing(spark, root, "events", schema=_event_schema()))
 
 
 @query
@@ -74,7 +85,7 @@ def scan_missing_table(spark, sf_dir):
 def sink_json_partitioned(spark, sf_dir):
     root = work_dir(spark, "lake")
     files.write_landing(t.event_records(spark, sf_dir), root, "events", "landed_at")
-    landed = lake.read_landing(spark, root, "events", schema=_event_schema(), array_files=False)
+    landed = lake.read_landing(spark, root, "events", schema=_event_schema())
     folder = F.regexp_extract(
         F.col("_metadata.file_path"), r"yyyy=(\d+)/mm=(\d+)/dd=(\d+)/hh=(\d+)/mi=(\d+)/", 0
     )
@@ -316,7 +327,7 @@ def batch_lake_to_star(spark, sf_dir):
     ad_level = raw.drop("age", "gender").select("*", landed_at)
     files.write_landing(ad_level, lake_root, "fad_ad_daily_report", "landed_at")
     files.write_landing(raw.select("*", landed_at), lake_root, "fad_age_gender_detailed_report", "landed_at")
-    batch.run_batch(spark, lake_root, target, "load-000001", array_files=False)
+    batch.run_batch(spark, lake_root, target, "load-000001")
     parts = []
     for name in ("fact_fb_ad_daily", "fact_fb_ad_creative_daily", "fact_fb_ad_demographic_daily"):
         current = warehouse.read_current(spark, target, name)

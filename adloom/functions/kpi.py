@@ -73,10 +73,10 @@ def conversions(all_conversions: Column) -> Column:
 
 
 def funnel(steps: list[tuple[str, Column]]) -> list[Column]:
-    """Step conversion rates of a funnel plus ``is_monotone``: no step exceeds the one before."""
+    """Step conversion rates of a funnel plus ``is_monotone``: no step exceeds the one before; a missing step counts as 0."""
     rates = []
     monotone = F.lit(True)
     for (_, above), (name, below) in zip(steps, steps[1:]):
         rates.append(ratio(below, above).alias(f"{name}_rate"))
-        monotone = monotone & (below <= above)
+        monotone = monotone & (F.coalesce(below, F.lit(0)) <= F.coalesce(above, F.lit(0)))
     return [*rates, monotone.alias("is_monotone")]

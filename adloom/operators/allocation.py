@@ -8,6 +8,8 @@ become a hot group.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,10 +84,10 @@ def normalise(df: DataFrame, keys: list[str], weight: str, share: str = "share")
     ).drop("__total")
 
 
-def _part(total: Column, weight: Column, denominator: Column, money: bool) -> Column:
-    """A leading cell's part: truncated for counters, rounded half-even to a cent for money."""
+def _part(total: Column, weight: Column, denominator: Column, kind: str) -> Column:
+    """A leading cell's part: truncated for counters, half-even to a cent for money, exact for fractions."""
     exact = total * weight / denominator
-    return (F.rint(exact) if money else F.floor(exact)).cast("long")
+    return exact if kind == "fraction" else (F.rint(exact) if kind == "money" else F.floor(exact)).cast("long")
 
 
 def allocate(
@@ -99,7 +101,7 @@ def allocate(
 
     Cell ``i`` gets ``total * weight_i / denominator`` (by default the weights' sum); the last
     cell gets what is left, which is negative if the leading shares exceed 1. Decimal
-    metrics are split in cents, all others as whole numbers. Other columns are kept.
+    metrics are split in cents, whole numbers as such, floating ones without rounding. Other columns are kept.
     """
     items = F.array(*[F.struct(*[_literal(value).alias(name) for name, value in cell.items()]) for cell in cells])
     listed = df.withColumns({"__items": items, "__weights": F.array(*[w.cast("double") for w in weights])})
@@ -110,17 +112,22 @@ def _literal(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def _whole(metric: str, money: bool) -> Column:
-    """A total as a whole number: a counter, or money in cents; missing counts as 0.
+def _kind(data_type: T.DataType) -> str:
+    if isinstance(data_type, T.DecimalType):
+        return "money"
+    return "fraction" if isinstance(data_type, (T.DoubleType, T.FloatType)) else "counter"
 
-    The way through double is exact up to 2**53 cents and far cheaper than decimal products.
-    """
-    value = F.rint(F.col(metric).cast("double") * 100) if money else F.col(metric)
+
+def _total(metric: str, kind: str) -> Column:
+    """A total as it is split: a counter, money in cents (over its whole range), or a fraction; missing counts as 0."""
+    if kind == "fraction":
+        return F.coalesce(F.col(metric).cast("double"), F.lit(0.0))
+    value = F.round(F.col(metric) * 100) if kind == "money" else F.col(metric)
     return F.coalesce(value.cast("long"), F.lit(0))
 
 
 def _cents_to_money(cents: Column) -> Column:
-    return (cents / F.lit(100.0)).cast(clean.MONEY)
+    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(clean.MONEY)
 
 
 def allocate_items(
@@ -136,21 +143,21 @@ def allocate_items(
     cells and metrics there are.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    money = {m for m in metrics if isinstance(kinds[m], T.DecimalType)}
+    split = {m: _kind(kinds[m]) for m in metrics}
     kept = [c for c in df.columns if c not in (*metrics, items, weights)]
     if denominator is None:
         denominator = F.greatest(
             F.lit(WEIGHT_FLOOR), F.aggregate(weights, F.lit(0.0), lambda total, w: total + w.cast("double"))
         )
 
-    totals = df.withColumns({m: _whole(m, m in money) for m in metrics}).withColumn(
+    totals = df.withColumns({m: _total(m, split[m]) for m in metrics}).withColumn(
         "__den", denominator.cast("double")
     )
     last = F.greatest(F.size(items) - 1, F.lit(0))
 
     def remainder(metric: str) -> Column:
         def subtract(left: Column, weight: Column) -> Column:
-            return left - _part(F.col(metric), weight.cast("double"), F.col("__den"), metric in money)
+            return left - _part(F.col(metric), weight.cast("double"), F.col("__den"), split[metric])
 
         return F.aggregate(F.slice(weights, 1, last), F.col(metric), subtract)
 
@@ -164,9 +171,9 @@ def allocate_items(
     )
     parts = []
     for m in metrics:
-        part = _part(F.col(m), F.col("__cell.weight").cast("double"), F.col("__den"), m in money)
+        part = _part(F.col(m), F.col("__cell.weight").cast("double"), F.col("__den"), split[m])
         whole = F.when(F.col("__i") == F.col("__last"), F.col(f"__rest_{m}")).otherwise(part)
-        parts.append((_cents_to_money(whole) if m in money else whole).alias(m))
+        parts.append((_cents_to_money(whole) if split[m] == "money" else whole).alias(m))
     structs = isinstance(kinds[items].elementType, T.StructType)
     item = F.col("__cell.item.*") if structs else F.col("__cell.item").alias(items)
     return cells.select(*kept, item, *parts)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from adloom.plans import star
 from adloom.plans.dates import dim_date
-from adloom.session import sized_shuffles
 from adloom.sinks import warehouse
 from adloom.sources.lake import read_landing
 
@@ -40,28 +39,26 @@ def run_batch(
     load_id: str,
     start: datetime.date | None = None,
     end: datetime.date | None = None,
-    array_files: bool = True,
 ) -> dict[str, int]:
     """Load the landed social reports into the warehouse; returns the rows written per table.
 
-    ``load_id`` must sort in load order; repeating a load replaces it. With ``start`` and
-    ``end`` only that range of landing days is read.
+    ``load_id`` must sort in load order; repeating a load replaces it. With ``start`` or ``end``
+    only that range of landing days is read. Of two versions of a key the later landed one is newer.
     """
-    daily_raw = read_landing(spark, lake, "fad_ad_daily_report", start, end, array_files=array_files)
-    demo_raw = read_landing(spark, lake, "fad_age_gender_detailed_report", start, end, array_files=array_files)
-    with sized_shuffles(daily_raw, demo_raw):
-        daily = to_bronze(daily_raw, warehouse_root, "fad_ad_daily_report", load_id)
-        demographics = to_bronze(demo_raw, warehouse_root, "fad_age_gender_detailed_report", load_id)
-        outputs = {
-            **star.ad_daily_tables(daily, default_status="ACTIVE"),
-            **star.creative_tables(daily),
-            **star.demographic_tables(demographics),
-            "dim_date": dim_date(daily),
-        }
-        written = {}
-        for table, frame in outputs.items():
-            rows = Observation(f"{table}-{load_id}")
-            narrow = not table.startswith("dim_")
-            warehouse.append(frame, warehouse_root, table, load_id, rows, sorted_into_months=narrow)
-            written[table] = rows.get.get("rows", 0)
+    daily_raw = read_landing(spark, lake, "fad_ad_daily_report", start, end, version="updated_at")
+    demo_raw = read_landing(spark, lake, "fad_age_gender_detailed_report", start, end, version="updated_at")
+    daily = to_bronze(daily_raw, warehouse_root, "fad_ad_daily_report", load_id)
+    demographics = to_bronze(demo_raw, warehouse_root, "fad_age_gender_detailed_report", load_id)
+    outputs = {
+        **star.ad_daily_tables(daily, default_status="ACTIVE"),
+        **star.creative_tables(daily),
+        **star.demographic_tables(demographics),
+        "dim_date": dim_date(daily),
+    }
+    written = {}
+    for table, frame in outputs.items():
+        rows = Observation(f"{table}-{load_id}")
+        narrow = not table.startswith("dim_")
+        warehouse.append(frame, warehouse_root, table, load_id, rows, sorted_into_months=narrow)
+        written[table] = rows.get.get("rows", 0)
     return written

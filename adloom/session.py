@@ -5,10 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 #: Settings every job relies on. AQE splits skewed join partitions and merges small
 #: shuffle partitions; a side is broadcast only when its measured size is below the
@@ -24,8 +22,9 @@ BASE_CONF = {
 }
 
 
-#: Plans without statistics report sizes of this order; no real scan does.
-UNKNOWN_SIZE = 2**62
+#: On a cluster shuffles start with many partitions, and AQE merges those that turn out small;
+#: it cannot split one that is too large outside skewed joins and rebalances.
+CLUSTER_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
 
 
 def object_store_conf() -> dict[str, str]:
@@ -54,7 +53,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(BASE_CONF)
+    conf = dict(BASE_CONF) if (master or "").startswith("local") else BASE_CONF | CLUSTER_CONF
     if object_store:
         conf.update(object_store_conf())
     conf.update(extra or {})
@@ -77,24 +76,3 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="adloom-")
     return f"{root.rstrip('/')}/adloom/{name}-{uuid.uuid4().hex}"
-
-
-@contextmanager
-def sized_shuffles(*scans: DataFrame, partition_bytes: int = 256 * 1024 * 1024) -> Iterator[int]:
-    """Run a block with enough shuffle partitions for the bytes of its scans.
-
-    The estimate comes from file sizes in the optimised plans, without a job. AQE merges
-    partitions that turn out too small, but it cannot split one that is too large outside
-    skewed joins and rebalances, so the number must not start too low.
-    """
-    spark = scans[0].sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    sizes = [int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for scan in scans]
-    known = max([size for size in sizes if size < UNKNOWN_SIZE], default=0)
-    wanted = max(int(before), -(-known // partition_bytes))
-    spark.conf.set(key, str(wanted))
-    try:
-        yield wanted
-    finally:
-        spark.conf.set(key, before)

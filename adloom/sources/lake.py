@@ -1,4 +1,4 @@
-"""The JSON lake: ``{root}/{table}/{YYYY}/{MM}/{DD}/{HH}/{mm}/*.json``."""
+"""The JSON lake: ``{root}/{table}/{YYYY}/{MM}/{DD}/{HH}/{mm}/*.json`` (or ``.txt``)."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import calendar
 import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,18 +45,59 @@ def landing_folder(
     return f"{base}/{parts[0]}" if len(parts) == 1 else f"{base}/{{{','.join(parts)}}}"
 
 
-def _load(reader, folder: str, schema: T.StructType, array_files: bool, files: str) -> DataFrame:
-    """Records below a folder, for a batch or a stream reader.
+#: Files of a landing table; folders may be named ``2026`` or ``yyyy=2026``.
+FILES = "*.{json,txt}"
+_PART = r"/(?:[a-z]+=)?(\d{2})"
+LANDED = rf"/(?:[a-z]+=)?(\d{{4}}){_PART}{_PART}{_PART}{_PART}/[^/]+$"
 
-    Minute folders are listed recursively (in parallel), not by wildcards. An array file is
-    read as one text and parsed from memory: the multi-line JSON reader instead seeks in the
-    file for every number that is declared as text, a request each on an object store.
-    """
+
+def landed_at(path: Column) -> Column:
+    """Landing time of a file by its folders; NULL outside minute folders."""
+    parts = [F.regexp_extract(path, LANDED, i) for i in range(1, 6)]
+    return F.try_to_timestamp(F.concat_ws("-", *parts), F.lit("yyyy-MM-dd-HH-mm"))
+
+
+def _texts(reader, folder: str, files: str) -> DataFrame:
+    """Files below a folder as (value, path), for a batch or a stream reader; minute folders are listed in parallel."""
     reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", files)
-    if not array_files:
-        return reader.schema(schema).json(folder)
-    texts = reader.text(folder, wholetext=True)
-    return texts.select(F.inline(F.from_json("value", T.ArrayType(schema))))
+    return reader.text(folder, wholetext=True).select("value", F.col("_metadata.file_path").alias("__path"))
+
+
+def _parsed(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds ``__unit`` (a whole array file, or one line of a file of lines), ``__rows`` and ``__bad``.
+
+    The layout is told by the file's first character, so it does not matter how it was written.
+    Bad is a unit that is no JSON, or holds something other than objects.
+    """
+    lines = F.filter(F.split("value", "\n"), lambda line: F.trim(F.regexp_replace(line, r"\s", " ")) != "")
+    is_array = F.regexp_extract("value", r"^\s*(\[)", 1) == "["
+    units = F.when(is_array, F.array("value")).otherwise(F.transform(lines, lambda line: F.concat(F.lit("["), line, F.lit("]"))))
+    rows = texts.select("__path", F.explode(units).alias("__unit"))
+    rows = rows.withColumn("__rows", F.from_json("__unit", T.ArrayType(schema)))
+    return rows.withColumn("__bad", F.col("__rows").isNull() | F.exists("__rows", lambda r: r.isNull()))
+
+
+def _records(
+    texts: DataFrame,
+    schema: T.StructType,
+    start: datetime.date | None,
+    end: datetime.date | None,
+    skip_damaged: bool,
+    version: str | None,
+) -> DataFrame:
+    day = F.to_date(landed_at(F.col("__path")))
+    if (start is None) != (end is None):
+        texts = texts.where(day >= F.lit(start) if end is None else day <= F.lit(end))
+    parsed = _parsed(texts, schema)
+    if skip_damaged:
+        rows = F.filter(F.coalesce("__rows", F.array()), lambda r: r.isNotNull())
+    else:
+        message = F.concat(F.lit("damaged landing file "), "__path", F.lit(": "), F.substring("__unit", 1, 200))
+        rows = F.when(F.col("__bad"), F.raise_error(message).cast(T.ArrayType(schema))).otherwise(F.col("__rows"))
+    own = [landed_at(F.col("__path")).alias(version)] if version else []
+    return parsed.select(*own, rows.alias("__rows")).select(*([version] if version else []), F.inline("__rows")).select(
+        *schema.names, *([version] if version else [])
+    )
 
 
 def read_landing(
@@ -66,22 +107,34 @@ def read_landing(
     start: datetime.date | None = None,
     end: datetime.date | None = None,
     schema: T.StructType | None = None,
-    array_files: bool = True,
-    files: str = "*.json",
+    files: str = FILES,
+    skip_damaged: bool = False,
+    version: str | None = None,
 ) -> DataFrame:
     """All records of a landing table; a table that does not exist reads as empty.
 
-    The schema is declared, so there is no inference pass, and an absent column is NULL
-    instead of an error. ``array_files`` reads one JSON array per file (such a file cannot be
-    split: one task each); files of one object per line are split by size.
+    Files hold a JSON array or one object per line; both may lie side by side. The schema is
+    declared, so there is no inference pass, and an absent column is NULL. A file is one task's
+    text (2 GB at most; the landing sinks write far smaller ones). The first damaged file, or
+    line of a file of lines, fails the read, unless ``skip_damaged``; ``damaged`` lists them.
+    Either day bound may be left open; with both, only the folders between them are listed.
+    ``version`` names a column to add with the landing time.
     """
     declared = schema or landing_schema(table)
     try:
-        return _load(spark.read, landing_folder(root, table, start, end), declared, array_files, files)
+        texts = _texts(spark.read, landing_folder(root, table, start, end), files)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], declared)
+        empty = T.StructType([*declared.fields, *([T.StructField(version, T.TimestampType())] if version else [])])
+        return spark.createDataFrame([], empty)
+    return _records(texts, declared, start, end, skip_damaged, version)
+
+
+def damaged(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None, files: str = FILES) -> DataFrame:
+    """(path, units): files of a landing table with the number of their arrays or lines that cannot be read."""
+    parsed = _parsed(_texts(spark.read, landing_folder(root, table), files), schema or landing_schema(table))
+    return parsed.where("__bad").groupBy(F.col("__path").alias("path")).agg(F.count(F.lit(1)).alias("units"))
 
 
 def stream_landing(
@@ -89,10 +142,12 @@ def stream_landing(
     root: str,
     table: str,
     schema: T.StructType | None = None,
-    array_files: bool = True,
-    files: str = "*.json",
+    files: str = FILES,
     max_files: int = 10_000,
+    skip_damaged: bool = False,
+    version: str | None = None,
 ) -> DataFrame:
     """The landing table as a stream of new files: each file is read once, not on every run."""
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    return _load(reader, landing_folder(root, table), schema or landing_schema(table), array_files, files)
+    texts = _texts(reader, landing_folder(root, table), files)
+    return _records(texts, schema or landing_schema(table), None, None, skip_damaged, version)

@@ -28,12 +28,11 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int
     return spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets)).load()
 
 
-def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """Parquet files as a stream; ``path`` may name a folder or a single file."""
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{path.rstrip('/')}*")
+def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1_000) -> DataFrame:
+    """Parquet files as a stream of micro-batches of bounded size; ``path`` may name a folder or a single file."""
+    # A pattern is needed for a single file; the class at its end matches just this name.
+    path = path.rstrip("/")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def wrap(

@@ -329,3 +329,11 @@ def test_breakdown_ratios_have_a_floor(spark):
     got = search.breakdown(df, [{"gender": g} for g in allocation.SEARCH_GENDERS], F.col("g"))
     assert sum(r.cost for r in got.collect()) == Decimal("10.00")
     assert all(r.ctr_fraction == 0 and r.average_cpc == float(r.cost) for r in got.collect())
+
+
+def test_fractions_and_large_money_are_split_exactly(spark):
+    df = spark.sql("select cast('9999999999999999.99' as decimal(18,2)) as m, 3.7D as f, 7 as n, array('a', 'b', 'c') as cell, array(1, 1, 1) as w")
+    got = allocation.allocate_items(df, ["m", "f", "n"], "cell", "w").collect()
+    assert sum(r.m for r in got) == Decimal("9999999999999999.99")
+    assert sum(r.f for r in got) == pytest.approx(3.7) and got[0].f == pytest.approx(3.7 / 3)
+    assert [r.n for r in got] == [2, 2, 3]
