@@ -1,24 +1,37 @@
-"""Byte-level BPE: ranked merges folded over the bytes of distinct words; decoding joins binary pieces."""
+"""Byte-level BPE: ranked merges folded over the bytes of distinct words; decoding joins binary pieces.
+
+Frequent words are folded by Spark's higher-order functions with a literal rank map, once for the
+corpus; they reach the workers as a table of bounded size. A worker folds any other word when it
+first meets it, by the same merges.
+"""
 
 from __future__ import annotations
 
 import base64
 import heapq
+import json
+import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Distinct words that a worker remembers before it starts anew; bounds its memory, not its result.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Words of at most so many bytes are folded by rescanning, longer ones by a heap.
 SHORT = 48
 WORDS_AT_ONCE = 1 << 20
+#: Frequent words folded ahead, at most, and the documents (least hashed ids) they are counted in. They save work and
+#: change no result.
+FREQUENT = 1 << 13
+COUNTED_DOCS = 2000
+#: The literal rank map is cut into this many small maps by the token's CRC, as Spark looks maps up from end to end.
+RANK_MAPS = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -27,6 +40,61 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in lines}
 
 
+def fold_words(words: DataFrame, ranks: dict[bytes, int], word_col: str = "word") -> DataFrame:
+    """(word, ids) for a table of distinct words: ranked merges folded over arrays of bytes by higher-order functions.
+
+    Every round merges the lowest-ranked, leftmost pair; a word of n bytes needs n - 1 rounds at most. Null and empty words have no ids.
+    """
+    maps: list[dict[str, int]] = [{} for _ in range(RANK_MAPS)]
+    for token, rank in ranks.items():
+        maps[zlib.crc32(token) % RANK_MAPS][token.hex().upper()] = rank
+    # Of literals only, so Spark computes it once and plans with the result; JSON cannot hold bytes, hence hex keys.
+    literal = F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
+    none = F.lit(1 << 30)
+
+    def rank(token: Column) -> Column:
+        return F.try_element_at(F.element_at(literal, (F.crc32(token) % RANK_MAPS + 1).cast("int")), F.hex(token))
+
+    def merge(parts: Column, _: Column) -> Column:
+        def pair(i: Column) -> Column:
+            known = F.when(i < F.size(parts), rank(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))))
+            return F.struct(F.coalesce(known, none).alias("rank"), i.alias("at"))
+
+        least = F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), pair))
+        return F.element_at(
+            F.transform(
+                F.array(least),
+                lambda best: F.when(best["rank"] == none, parts).otherwise(
+                    F.concat(
+                        F.slice(parts, F.lit(1), best["at"] - 1),
+                        F.array(F.concat(F.element_at(parts, best["at"]), F.element_at(parts, best["at"] + 1))),
+                        F.slice(parts, best["at"] + 2, F.size(parts)),
+                    )
+                ),
+            ),
+            1,
+        )
+
+    data = F.encode(F.col(word_col), "utf-8")
+    size = F.coalesce(F.octet_length(data), F.lit(0))
+    single = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.substring(data, i, F.lit(1)))
+    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), single, merge)
+    whole = rank(data)
+    ids = F.when(size == 0, F.array().cast("array<int>")).when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, rank))
+    return words.select(F.col(word_col).alias("word"), ids.alias("ids"))
+
+
+def frequent_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str) -> dict[str, bytes]:
+    """Ids (little-endian) of at most FREQUENT words, the most frequent ones of COUNTED_DOCS documents."""
+    ids = docs.select(F.col(id_col).cast("string").alias("id")).where("id is not null").distinct()
+    ids = [r.id for r in ids.orderBy(F.xxhash64("id"), "id").limit(COUNTED_DOCS).collect()]
+    texts = docs.where(F.col(id_col).cast("string").isin(ids)).select(F.col(text_col).cast("string").alias("text"))
+    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(f"(?U){pattern}"), F.lit(0))).alias("word"))
+    counted = words.where(F.octet_length("word").between(1, SHORT)).groupBy("word").agg(F.count("*").alias("n"))
+    chosen = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).repartition(16)
+    return {r.word: np.array(r.ids, "<u4").tobytes() for r in fold_words(chosen, ranks).collect()}
+
+
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word: of all adjacent pairs the lowest-ranked, leftmost, is merged until none has a rank."""
     if word in ranks:
@@ -83,13 +151,14 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Words(dict):
     """Word to its ids as little-endian 32-bit bytes; a missing word is folded once."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], known: dict[str, bytes] | None = None):
+        super().__init__(known or {})
+        self.ranks, self.known = ranks, known or {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
+            self.update(self.known)
         ids = np.array(fold(word.encode("utf-8"), self.ranks), "<u4").tobytes()
         self[word] = ids
         return ids
@@ -106,7 +175,7 @@ def _tools(shared) -> tuple[Words, list[bytes], regex.Pattern]:
         for token, i in ranks.items():
             pieces[i] = token
         _WORKER.clear()
-        _WORKER[shared.value["name"]] = Words(ranks), pieces, regex.compile(shared.value["pattern"])
+        _WORKER[shared.value["name"]] = Words(ranks, shared.value.get("words")), pieces, regex.compile(shared.value["pattern"])
     return _WORKER[shared.value["name"]]
 
 
@@ -138,17 +207,20 @@ def _worker(shared, decode: bool) -> Callable:
 
 
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, ahead: bool = True
 ) -> DataFrame:
     """(doc_id, ids[, decoded]) for every row: ids as little-endian 32-bit bytes, optionally decoded again.
 
-    The rank file is read by the driver and broadcast (its size is the vocabulary's, whatever the
+    The rank file is read by the driver and broadcast with the frequent words (their size is bounded, whatever the
     corpus). Each match of the pattern is encoded by itself, each distinct word once per worker.
+    Without ``ahead`` the workers fold all words themselves; the result is the same.
     Null and empty texts give empty binaries; repeated rows and null ids are kept; extra columns
     are ignored; an empty table gives none.
     """
     ranks = read_ranks(ranks_path)
     value = {"name": f"{ranks_path}\n{pattern}\n{len(ranks)}", "tokens": list(ranks), "ids": list(ranks.values()), "pattern": pattern}
+    value["words"] = frequent_words(docs, ranks, pattern, id_col, text_col) if ahead else {}
+    value["name"] += f"\n{zlib.crc32(repr(value['words']).encode())}"
     shared = docs.sparkSession.sparkContext.broadcast(value)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()

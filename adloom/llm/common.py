@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: Largest table of narrow rows, by count, that is broadcast.
 BROADCAST_ROWS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
+#: Temporary folders of local sessions without the setting, by application.
+_OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,8 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _OWN.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="llm-")
+        _OWN[context.applicationId] = root
     return root
 
 
