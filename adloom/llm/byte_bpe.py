@@ -1,8 +1,8 @@
 """Byte-level BPE: ranked merges folded over the bytes of distinct words; decoding joins binary pieces.
 
-Frequent words are folded by Spark's higher-order functions with a literal rank map, once for the
-corpus; they reach the workers as a table of bounded size. A worker folds any other word when it
-first meets it, by the same merges.
+``fold_words`` folds a table of distinct words by Spark's higher-order functions with a literal rank map. In
+``encode`` a worker folds each distinct word when it first meets it, by the same merges; on request the corpus's
+frequent words are folded ahead by ``fold_words`` and reach the workers as a table of bounded size.
 """
 
 from __future__ import annotations
@@ -207,13 +207,14 @@ def _worker(shared, decode: bool) -> Callable:
 
 
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, ahead: bool = True
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, ahead: bool = False
 ) -> DataFrame:
     """(doc_id, ids[, decoded]) for every row: ids as little-endian 32-bit bytes, optionally decoded again.
 
     The rank file is read by the driver and broadcast with the frequent words (their size is bounded, whatever the
     corpus). Each match of the pattern is encoded by itself, each distinct word once per worker.
-    Without ``ahead`` the workers fold all words themselves; the result is the same.
+    With ``ahead`` frequent words are folded by ``fold_words`` first (its literal map needs a few hundred MB of
+    driver heap over repeated calls); without it the workers fold all words themselves. The result is the same.
     Null and empty texts give empty binaries; repeated rows and null ids are kept; extra columns
     are ignored; an empty table gives none.
     """
