@@ -48,7 +48,7 @@ SEARCH = """
 g AS (
   SELECT l_suppkey AS adgroup_id, s_nationkey AS campaign_id, CAST(l_shipdate AS DATE) AS date_start,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS cost, CAST(floor(l_quantity) AS BIGINT) * 10 AS impressions,
-         CAST(l_linenumber AS BIGINT) AS clicks, CAST(round(l_discount * 100) AS BIGINT) AS all_conversions
+         CAST(l_linenumber AS BIGINT) AS clicks, CAST(round(l_discount * 100) AS DOUBLE) * 0.375::DOUBLE AS all_conversions
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 )"""
 
@@ -56,9 +56,9 @@ ORDER_TOTALS = """
 o AS (
   SELECT o_orderkey AS ad_id, CAST(o_orderdate AS DATE) AS date_start, CAST(o_totalprice AS DECIMAL(18,2)) AS spend,
          o_custkey * 7 + 11 AS impressions, o_custkey % 97 AS clicks, o_orderkey % 31 AS messages,
-         CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Phụ nữ - 18-24' WHEN 'MACHINERY' THEN 'Nam giới - Phụ kiện xe hơi'
-           WHEN 'BUILDING' THEN 'Tệp đối tượng Quản lý / CEO' WHEN 'FURNITURE' THEN 'Lookalike 18-24'
-           ELSE 'Broad Targeting' END AS adset_name
+         CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Phụ nữ 18-24' WHEN 'MACHINERY' THEN 'Xe & Nam giới'
+           WHEN 'BUILDING' THEN 'Nhóm Quản lý, CEO' WHEN 'FURNITURE' THEN 'Sinh viên 18-24'
+           ELSE 'Mọi người' END AS adset_name
   FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
 
@@ -116,6 +116,14 @@ def parts(metric: str, cells: str, money: bool = False) -> str:
     return f"{scaled} AS {metric}"
 
 
+def fraction_parts(metric: str, cells: str) -> str:
+    """The same for a fraction: exact parts, taken off one after the other in cell order, the rest last."""
+    part = f"({metric} * weight) / den"
+    listed = f"list({part} ORDER BY cell) OVER (PARTITION BY row_id)"
+    taken = f"list_reduce(list_prepend({metric}, list_slice({listed}, 1, CAST({cells} - 1 AS BIGINT))), lambda x, y: x - y)"
+    return f"CASE WHEN cell = {cells} THEN {taken} ELSE {part} END AS {metric}"
+
+
 def share_split(rows: str, seed: str, values: list[str]) -> str:
     """Rows crossed with a value list, each cell with its stable weight."""
     listed = ", ".join(f"({i + 1}, '{v}')" for i, v in enumerate(values))
@@ -360,12 +368,12 @@ SELECT ad_id, date_start, age, gender, {parts('spend', '12', money=True)}, {part
 SELECT *, clicks / greatest(1.0::DOUBLE, CAST(impressions AS DOUBLE)) AS ctr_fraction FROM e""",
     "alloc_keyword": f"""WITH {SEARCH}, x AS (
   SELECT adgroup_id, date_start, CAST(sum(cost) AS DECIMAL(18,2)) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
-         CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS BIGINT) AS all_conversions,
+         CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS DOUBLE) AS all_conversions,
          CAST(adgroup_id AS VARCHAR) || '_' || CAST(date_start AS VARCHAR) AS row_id
   FROM g GROUP BY adgroup_id, date_start
 ), d AS ({share_split('x', 'x.row_id', ['silver necklace', 'birthday gift', 'engagement ring'])}), e AS (
   SELECT adgroup_id, date_start, item AS keyword, {parts('cost', '3', money=True)}, {parts('impressions', '3')}, {parts('clicks', '3')},
-         {parts('all_conversions', '3')} FROM d
+         {fraction_parts('all_conversions', '3')} FROM d
 ), z AS (SELECT *, CAST(floor(CAST(all_conversions AS DOUBLE) * 0.8::DOUBLE) AS BIGINT) AS conversions FROM e)
 SELECT *, clicks / greatest(1.0::DOUBLE, CAST(impressions AS DOUBLE)) AS ctr_fraction,
        cost / greatest(1.0::DOUBLE, CAST(clicks AS DOUBLE)) AS average_cpc,
@@ -387,14 +395,14 @@ FROM e""",
 def _breakdown(items: tuple[str, ...], age: str, gender: str) -> str:
     last = str(len(items))
     return f"""SELECT campaign_id, date_start, {age} AS age_range, {gender} AS gender, {parts('cost', last, money=True)},
-  {parts('impressions', last)}, {parts('clicks', last)}, {parts('all_conversions', last)}
+  {parts('impressions', last)}, {parts('clicks', last)}, {fraction_parts('all_conversions', last)}
 FROM ({share_split('x', 'x.row_id', list(items))})"""
 
 
 ORACLE |= {
     "union_all_breakdowns": f"""WITH {SEARCH}, x AS (
   SELECT campaign_id, date_start, CAST(sum(cost) AS DECIMAL(18,2)) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
-         CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS BIGINT) AS all_conversions,
+         CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS DOUBLE) AS all_conversions,
          CAST(campaign_id AS VARCHAR) || '_' || CAST(date_start AS VARCHAR) AS row_id
   FROM g GROUP BY campaign_id, date_start
 ), u AS (
@@ -429,7 +437,7 @@ SELECT level, CAST(id AS BIGINT) AS id, date_start, date_stop, CAST(spend AS DOU
        CAST(clicks AS BIGINT) AS clicks FROM u""",
     "rollup_recompute_ctr": f"""WITH {SEARCH}, d AS (SELECT * EXCLUDE (impressions), CASE WHEN clicks = 7 THEN 0 ELSE impressions END AS impressions FROM g), x AS (
   SELECT campaign_id, date_start, CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS DOUBLE) AS impressions,
-         CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS BIGINT) AS all_conversions FROM d GROUP BY 1, 2
+         CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS DOUBLE) AS all_conversions FROM d GROUP BY 1, 2
 )
 SELECT *, CASE WHEN impressions > 0 THEN clicks / impressions ELSE 0 END AS ctr_fraction FROM x""",
     "daily_reports": f"""WITH {FACTS}, {CAMPAIGN_OF_AD}, j AS (
@@ -442,14 +450,21 @@ SELECT *, CASE WHEN impressions > 0 THEN clicks / impressions ELSE 0 END AS ctr_
 )
 SELECT level, date_start, CAST(id AS BIGINT) AS id, name, CAST(sum(spend) AS DOUBLE) AS spend, CAST(sum(clicks) AS BIGINT) AS clicks
 FROM u GROUP BY ALL""",
-    "search_reports": f"""WITH {SEARCH}
-SELECT date_start, n_regionkey AS id, r_name AS name, CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
-       CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS BIGINT) AS all_conversions,
-       CAST(sum(clicks) AS DOUBLE) / sum(impressions) AS ctr_fraction
-FROM g JOIN nation ON campaign_id = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3""",
+    "search_reports": f"""WITH {SEARCH}, j AS (
+  SELECT g.*, s_name, n_name, n_regionkey, r_name
+  FROM g JOIN supplier ON adgroup_id = s_suppkey JOIN nation ON campaign_id = n_nationkey JOIN region ON n_regionkey = r_regionkey
+), u AS (
+  SELECT 'ad_group' AS level, adgroup_id AS id, s_name AS name, date_start, cost, impressions, clicks, all_conversions FROM j
+  UNION ALL SELECT 'campaign', campaign_id, n_name, date_start, cost, impressions, clicks, all_conversions FROM j
+  UNION ALL SELECT 'account', n_regionkey, r_name, date_start, cost, impressions, clicks, all_conversions FROM j
+)
+SELECT level, date_start, CAST(id AS BIGINT) AS id, name, CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
+       CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS DOUBLE) AS all_conversions,
+       coalesce(CAST(sum(clicks) AS DOUBLE) / nullif(sum(impressions), 0), 0) AS ctr_fraction
+FROM u GROUP BY 1, 2, 3, 4""",
     "rollup_campaign_totals": f"""WITH {SEARCH}
 SELECT campaign_id, date_start, CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
-       CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS BIGINT) AS all_conversions FROM g GROUP BY 1, 2""",
+       CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS DOUBLE) AS all_conversions FROM g GROUP BY 1, 2""",
     "budget_remaining": f"""WITH {FACTS}, {CAMPAIGN_OF_AD}
 SELECT date_start, adset_id, CAST(max(daily_budget) AS DOUBLE) AS daily_budget, CAST(sum(spend) AS DOUBLE) AS spend,
        CAST(max(daily_budget) - sum(spend) AS DOUBLE) AS budget_remaining FROM f JOIN p USING (ad_id) GROUP BY 1, 2""",
@@ -461,9 +476,19 @@ SELECT ad_id, date_start, creative_id, CAST(clicks AS DOUBLE) / nullif(impressio
        CASE WHEN messages > 0 THEN CAST(spend AS DOUBLE) / messages ELSE 0 END AS cost_per_message,
        CAST(spend AS DOUBLE) / greatest(1, messages) AS cost_floored,
        CAST(clicks + messages + clicks + messages + clicks + impressions AS BIGINT) AS engagements FROM f""",
-    "funnel_rates": f"""WITH {FACTS}
-SELECT ad_id, date_start, creative_id, CAST(clicks AS DOUBLE) / nullif(impressions, 0) AS clicks_rate,
-       CAST(messages AS DOUBLE) / nullif(clicks, 0) AS messages_rate, impressions >= clicks AND clicks >= messages AS is_monotone FROM f""",
+    "funnel_rates": f"""WITH s AS (
+  SELECT l_orderkey AS ad_id, l_linenumber AS line, CAST(floor(l_quantity) AS INTEGER) AS q, q * 10 AS i, q * 8 AS v25, q * 5 AS v50,
+         q * l_linenumber AS v75, CASE WHEN l_linenumber <> 6 THEN q * 2 END AS v95, CASE WHEN l_linenumber < 5 THEN q END AS v100,
+         l_linenumber * 3 AS c, CASE WHEN l_linenumber <> 2 THEN l_linenumber * 2 END AS lc, l_linenumber - 1 AS lp FROM lineitem)
+SELECT ad_id, line, {', '.join(
+    f"CAST({below} AS DOUBLE) / nullif({above}, 0) AS {name}_rate"
+    for above, below, name in (
+        ("i", "v25", "video_views_p25"), ("v25", "v50", "video_views_p50"), ("v50", "v75", "video_views_p75"),
+        ("v75", "v95", "video_views_p95"), ("v95", "v100", "video_views_p100"),
+        ("i", "c", "clicks"), ("c", "lc", "link_clicks"), ("lc", "lp", "landing_page_views"),
+    )
+)}, i >= v25 AND v25 >= v50 AND v50 >= v75 AND v75 >= coalesce(v95, 0) AND coalesce(v95, 0) >= coalesce(v100, 0)
+    AND i >= c AND c >= coalesce(lc, 0) AND coalesce(lc, 0) >= lp AS is_monotone FROM s""",
     "math_scalars": """
 SELECT l_orderkey AS ad_id, l_linenumber AS line,
        CAST(round_even(CAST(l_extendedprice AS DECIMAL(18,2)) * 50, 0) AS DOUBLE) / 100 AS half_even,
@@ -486,8 +511,8 @@ SELECT p_partkey, {hash_number('any_value(key)')} % 17 AS bucket,
        string_agg(item, ',' ORDER BY rank) AS assets
 FROM ranked WHERE rank <= 4 GROUP BY p_partkey""",
     "classify_targeting": f"""WITH n AS (
-  SELECT c_custkey AS adset_id, CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Phụ nữ - 18-24' WHEN 'MACHINERY' THEN 'Nam giới - Phụ kiện xe hơi'
-    WHEN 'BUILDING' THEN 'Tệp đối tượng Quản lý / CEO' WHEN 'FURNITURE' THEN 'Lookalike 18-24' ELSE 'Broad Targeting' END AS adset_name
+  SELECT c_custkey AS adset_id, CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Phụ nữ 18-24' WHEN 'MACHINERY' THEN 'Xe & Nam giới'
+    WHEN 'BUILDING' THEN 'Nhóm Quản lý, CEO' WHEN 'FURNITURE' THEN 'Sinh viên 18-24' ELSE 'Mọi người' END AS adset_name
   FROM customer
 ) SELECT adset_id, adset_name, {AUDIENCE} FROM n""",
     "age_bucket_bounds": """

@@ -434,7 +434,7 @@ def distinct_years(spark, sf_dir):
 
 @query
 def union_distinct_years(spark, sf_dir):
-    return lifetimes.years_with_previous(lifetimes.distinct_years(t.ad_facts(spark, sf_dir)))
+    return lifetimes.years_with_previous(t.ad_facts(spark, sf_dir))
 
 
 @query
@@ -546,28 +546,18 @@ def rollup_daily_levels(spark, sf_dir):
 
 @query
 def rollup_lifetime(spark, sf_dir):
-    report = t.ad_days(spark, sf_dir)
     metrics = ["spend", "impressions", "clicks"]
     ads = t.ads(spark, sf_dir)
     length = F.substring("priority", 1, 1).cast("int") * 100
-    ad_lives = ads.select("ad_id", "start_date", F.date_add("start_date", length).alias("end_date"))
-    set_lives = ads.groupBy("adset_id").agg(
-        F.min("start_date").alias("start_date"), F.max("start_date").alias("end_date")
-    )
+    lives = {
+        "ad": ads.select("ad_id", "start_date", F.date_add("start_date", length)),
+        "adset": ads.groupBy("adset_id").agg(F.min("start_date"), F.max("start_date")),
+    }
     days = t.ad_facts(spark, sf_dir)
     bounds = (days.select(F.min("date_start")).scalar(), days.select(F.max("date_start")).scalar())
-    levels = {"ad": (ad_lives, None), "adset": (set_lives, None), "campaign": (None, bounds)}
-    named = [
-        rollup.lifetime_totals(report, level, lives, span, metrics).select(
-            F.lit(level).alias("level"),
-            F.col(rollup.LEVELS[level]).cast("bigint").alias("id"),
-            "date_start",
-            "date_stop",
-            *metrics,
-        )
-        for level, (lives, span) in levels.items()
-    ]
-    return plain(search.union_breakdowns(*named))
+    totals = rollup.ad_lifetime_totals(days, metrics)
+    parents = ads.join(t.adsets(spark, sf_dir), "adset_id")
+    return plain(rollup.lifetime_levels(totals, parents, lives, bounds, metrics).withColumn("id", F.col("id").cast("bigint")))
 
 
 @query
@@ -580,23 +570,24 @@ def rollup_recompute_ctr(spark, sf_dir):
 
 @query
 def daily_reports(spark, sf_dir):
-    report = t.ad_days(spark, sf_dir)
-    sets = t.adsets(spark, sf_dir).select("adset_id", "adset_name")
-    campaigns = t.campaigns(spark, sf_dir).select("campaign_id", "campaign_name")
-    accounts = t.accounts(spark, sf_dir)
-    metrics = ["spend", "clicks"]
-    parts = [
-        social.level_report(report, level, names, metrics)
-        .withColumn("id", F.col("id").cast("bigint"))
-        .select(F.lit(level).alias("level"), "*")
-        for level, names in (("adset", sets), ("campaign", campaigns), ("account", accounts))
-    ]
-    return plain(search.union_breakdowns(*parts))
+    names = {
+        "adset": t.adsets(spark, sf_dir).select("adset_id", "adset_name"),
+        "campaign": t.campaigns(spark, sf_dir).select("campaign_id", "campaign_name"),
+        "account": t.accounts(spark, sf_dir),
+    }
+    levels = social.level_reports(t.ad_days(spark, sf_dir), names, ["spend", "clicks"])
+    return plain(levels.withColumn("id", F.col("id").cast("bigint")))
 
 
 @query
 def search_reports(spark, sf_dir):
-    return plain(search.level_report(t.search_ads(spark, sf_dir), "account", t.accounts(spark, sf_dir)))
+    names = {
+        "ad_group": t.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+        "campaign": t.campaigns(spark, sf_dir).select("campaign_id", "campaign_name"),
+        "account": t.accounts(spark, sf_dir),
+    }
+    reports = search.level_reports(t.search_ads(spark, sf_dir), names)
+    return plain(reports.withColumn("id", F.col("id").cast("bigint")))
 
 
 @query
@@ -635,9 +626,22 @@ def kpi_ratios(spark, sf_dir):
 
 @query
 def funnel_rates(spark, sf_dir):
-    facts = t.ad_facts(spark, sf_dir)
-    steps = [("impressions", F.col("impressions")), ("clicks", F.col("clicks")), ("messages", F.col("new_messaging_connections"))]
-    return facts.select("ad_id", "date_start", "creative_id", *kpi.funnel(steps))
+    """Two chains of steps; some steps are missing, and some exceed the one before."""
+    line, quantity = F.col("l_linenumber"), F.floor("l_quantity").cast("int")
+    steps = {
+        "video_views_p25": quantity * 8,
+        "video_views_p50": quantity * 5,
+        "video_views_p75": quantity * line,
+        "video_views_p95": F.when(line != 6, quantity * 2),
+        "video_views_p100": F.when(line < 5, quantity),
+        "clicks": line * 3,
+        "link_clicks": F.when(line != 2, line * 2),
+        "landing_page_views": line - 1,
+    }
+    rows = t.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (quantity * 10).alias("impressions"), *[v.alias(k) for k, v in steps.items()]
+    )
+    return rows.select(F.col("l_orderkey").alias("ad_id"), F.col("l_linenumber").alias("line"), *kpi.report_funnels())
 
 
 @query

@@ -136,14 +136,14 @@ def creative_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily search-ad metrics: supplier plays ad group, its nation the campaign."""
+    """Daily search-ad metrics: supplier plays ad group, its nation the campaign. Conversions are fractions, multiples of 3/8."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("adgroup_id"),
         F.col("l_shipdate").cast("date").alias("date_start"),
         F.col("l_extendedprice").cast(clean.MONEY).alias("cost"),
         (F.floor("l_quantity") * 10).alias("impressions"),
         F.col("l_linenumber").cast("long").alias("clicks"),
-        F.rint(F.col("l_discount") * 100).cast("long").alias("all_conversions"),
+        (F.rint(F.col("l_discount") * 100) * 0.375).alias("all_conversions"),
     )
     groups = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("adgroup_id"), F.col("s_nationkey").alias("campaign_id")
@@ -169,11 +169,11 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audience_name(segment: Column) -> Column:
     """An ad-set name whose words say whom it targets."""
     return (
-        F.when(segment == "HOUSEHOLD", "Phụ nữ - 18-24")
-        .when(segment == "MACHINERY", "Nam giới - Phụ kiện xe hơi")
-        .when(segment == "BUILDING", "Tệp đối tượng Quản lý / CEO")
-        .when(segment == "FURNITURE", "Lookalike 18-24")
-        .otherwise("Broad Targeting")
+        F.when(segment == "HOUSEHOLD", "Phụ nữ 18-24")
+        .when(segment == "MACHINERY", "Xe & Nam giới")
+        .when(segment == "BUILDING", "Nhóm Quản lý, CEO")
+        .when(segment == "FURNITURE", "Sinh viên 18-24")
+        .otherwise("Mọi người")
     )
 
 

@@ -80,3 +80,20 @@ def funnel(steps: list[tuple[str, Column]]) -> list[Column]:
         rates.append(ratio(below, above).alias(f"{name}_rate"))
         monotone = monotone & (F.coalesce(below, F.lit(0)) <= F.coalesce(above, F.lit(0)))
     return [*rates, monotone.alias("is_monotone")]
+
+
+# The two chains of a social report that must not grow from step to step.
+VIDEO_FUNNEL = (
+    "impressions", "video_views_p25", "video_views_p50", "video_views_p75", "video_views_p95", "video_views_p100"
+)
+CLICK_FUNNEL = ("impressions", "clicks", "link_clicks", "landing_page_views")
+
+
+def report_funnels(chains=(VIDEO_FUNNEL, CLICK_FUNNEL)) -> list[Column]:
+    """Step rates of all chains, and ``is_monotone``: every chain is."""
+    rates, monotone = [], F.lit(True)
+    for chain in chains:
+        *steps, whole = funnel([(name, F.col(name)) for name in chain])
+        rates += steps
+        monotone = monotone & whole
+    return [*rates, monotone.alias("is_monotone")]

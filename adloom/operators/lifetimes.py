@@ -60,10 +60,17 @@ def day_spine(df: DataFrame, column: str = "date_start") -> DataFrame:
 
 def distinct_years(df: DataFrame, column: str = "date_start") -> DataFrame:
     """Years touched by the data, ascending."""
-    return df.select(F.year(column).alias("year")).distinct().orderBy("year")
+    return _years(df, column).orderBy("year")
 
 
-def years_with_previous(years: DataFrame) -> DataFrame:
-    """The years and the year before each of them, without repeats, ascending."""
-    previous = years.select((F.col("year") - 1).alias("year"))
-    return years.select("year").union(previous).distinct().orderBy("year")
+def _years(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.year(column).alias("year")).distinct()
+
+
+def years_with_previous(df: DataFrame, column: str = "date_start") -> DataFrame:
+    """The years touched by the data and the year before each of them, without repeats, ascending.
+
+    Both years come from one scan by a generator; the only sort is of the few distinct years.
+    """
+    both = _years(df, column).select(F.explode(F.array(F.col("year"), F.col("year") - 1)).alias("year"))
+    return both.distinct().orderBy("year")

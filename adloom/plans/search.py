@@ -66,16 +66,16 @@ def breakdown(groups: DataFrame, cells, seed: Column) -> DataFrame:
     return with_search_ratios(parts)
 
 
-LEVELS = {"ad_group": "adgroup", "campaign": "campaign", "account": "account"}
+LEVELS = {"ad_group": "adgroup_id", "campaign": "campaign_id", "account": "account_id"}
 
 
-def level_report(rows: DataFrame, level: str, names: DataFrame) -> DataFrame:
-    """Daily report of ad groups, campaigns or accounts from finer rows, the ratio recomputed."""
-    key = f"{LEVELS[level]}_id"
-    totals = rollup.search_totals(rows, ["date_start", key])
-    return totals.join(names.withColumnRenamed(f"{LEVELS[level]}_name", "name"), key).select(
-        "date_start", F.col(key).alias("id"), "name", *rollup.SEARCH_METRICS, "ctr_fraction"
-    )
+def level_reports(rows: DataFrame, names: dict[str, DataFrame]) -> DataFrame:
+    """Daily reports of ad groups, campaigns and accounts, summed once, the ratio recomputed per level."""
+    metrics = list(rollup.SEARCH_METRICS)
+    finest = rollup.numeric_feed(rows).groupBy("date_start", *LEVELS.values()).agg(*rollup.sums(metrics))
+    totals = rollup.by_level(finest, LEVELS, ["date_start"], rollup.sums(metrics))
+    ratio = kpi.ctr_fraction(F.col("clicks"), F.col("impressions")).alias("ctr_fraction")
+    return rollup.with_names(totals, names).select("level", "date_start", "id", "name", *metrics, ratio)
 
 
 def click_types(campaigns: DataFrame, seed: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import text
 from adloom.operators import allocation
-from adloom.operators.rollup import LEVELS, daily_level, present_metrics
+from adloom.operators.rollup import daily_levels, present_metrics, with_names
 
 
 def demographic_rows(report: DataFrame, name: str = "adset_name", metrics: list[str] | None = None) -> DataFrame:
@@ -22,17 +22,12 @@ def demographic_rows(report: DataFrame, name: str = "adset_name", metrics: list[
     return rows.drop(*targeted)
 
 
-def level_report(
-    report: DataFrame, level: str, names: DataFrame, metrics: list[str] | None = None
-) -> DataFrame:
-    """Daily report of ad sets, campaigns or accounts: (date_start, id, name, metrics).
+def level_reports(report: DataFrame, names: dict[str, DataFrame], metrics: list[str] | None = None) -> DataFrame:
+    """Daily reports of ad sets, campaigns and accounts: (level, date_start, id, name, metrics).
 
-    Only the entity's own attributes are kept; ``names`` (key, name) is the level's dimension.
-    Sums come first, so the join sees one row per entity and day.
+    Only the entity's own attributes are kept; ``names`` holds each level's (key, name) dimension.
+    The report is summed once for all levels, so the join sees one row per entity and day.
     """
-    key = LEVELS[level]
     metrics = metrics or present_metrics(report)
-    totals = daily_level(report, level, metrics)
-    return totals.join(names.withColumnRenamed(f"{level}_name", "name"), key).select(
-        "date_start", F.col(key).alias("id"), "name", *metrics
-    )
+    totals = daily_levels(report, metrics)
+    return with_names(totals, names).select("level", "date_start", "id", "name", *metrics)

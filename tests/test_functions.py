@@ -224,10 +224,10 @@ def test_bucket_range(spark):
 @pytest.mark.parametrize(
     "name, expected",
     [
-        ("Phụ nữ - Quan tâm sức khỏe", ("female", None, None)),
-        ("Nam giới - Phụ kiện xe hơi", ("male", None, None)),
-        ("Broad Targeting - Toàn quốc", (None, None, None)),
-        ("Tệp đối tượng Quản lý / CEO", (None, 35, 65)),
+        ("Khách Phụ nữ", ("female", None, None)),
+        ("Xe & Nam giới", ("male", None, None)),
+        ("Mọi người", (None, None, None)),
+        ("Nhóm Quản lý, CEO", (None, 35, 65)),
         ("Nam giới 18-24", ("male", 18, 24)),
         ("CEO 18-24", (None, 35, 65)),
     ],

@@ -179,7 +179,9 @@ def test_years(spark):
     df = spark.sql("SELECT * FROM VALUES (date'2024-05-01'), (date'2026-01-01'), (date'2024-07-01') AS t(date_start)")
     years = lifetimes.distinct_years(df)
     assert [r.year for r in years.collect()] == [2024, 2026]
-    assert [r.year for r in lifetimes.years_with_previous(years).collect()] == [2023, 2024, 2025, 2026]
+    both = lifetimes.years_with_previous(df)
+    assert [r.year for r in both.collect()] == [2023, 2024, 2025, 2026]
+    assert both._jdf.queryExecution().sparkPlan().toString().count("Sort ") == 1
 
 
 # --- roll-ups ---
@@ -229,6 +231,30 @@ def test_lifetime_totals(spark, report):
     assert sum(r.clicks for r in whole) == sum(r[7] for r in data)
 
 
+def test_lifetime_levels_equal_single_levels_in_one_pass(spark, report):
+    df, data = report
+    parents = df.select("ad_id", "adset_id", "campaign_id").distinct()
+    lives = {"ad": spark.createDataFrame([(0, D(2025, 12, 1), D(2026, 3, 1))], "ad_id int, start_date date, end_date date")}
+    bounds = (F.lit("2026-01-01").cast("date"), F.lit("2026-01-31").cast("date"))
+    metrics = ["spend", "clicks"]
+    totals = rollup.ad_lifetime_totals(df.select("ad_id", "date_start", *metrics), metrics)
+    got = rollup.lifetime_levels(totals, parents, lives, bounds, metrics)
+    ads = rollup.lifetime_totals(df, "ad", lives["ad"], metrics=metrics)
+    sets = rollup.lifetime_totals(df, "adset", bounds=bounds, metrics=metrics)
+    assert rows(got.filter("level = 'ad'").drop("level")) == rows(ads)
+    assert rows(got.filter("level = 'adset'").drop("level")) == rows(sets)
+    assert {r.level: r.n for r in got.groupBy("level").agg(F.sum("clicks").alias("n")).collect()} == dict.fromkeys(
+        ("ad", "adset", "campaign"), sum(r[7] for r in data)
+    )
+
+
+def test_levels_of_ids_of_different_types(spark):
+    df = spark.createDataFrame([("s", 1, 2, 3)], "adset_id string, campaign_id int, account_id bigint, clicks int")
+    levels = {"adset": "adset_id", "campaign": "campaign_id", "account": "account_id"}
+    got = rollup.by_level(df, levels, [], rollup.sums(["clicks"]))
+    assert rows(got) == [("account", "2", 3), ("adset", "s", 3), ("campaign", "1", 3)]
+
+
 def test_search_totals_recompute_the_ratio(spark):
     data = [("c", "100", 10, "1.5", 3), ("c", "bad", 20, "2", 4), ("d", "0", 5, None, 1)]
     df = spark.createDataFrame(data, "campaign_id string, impressions string, clicks int, cost string, all_conversions int")
