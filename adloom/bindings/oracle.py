@@ -44,6 +44,12 @@ r AS (
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 )"""
 
+LANDED = """
+landed AS (
+  SELECT * REPLACE (spend * 2 AS spend), 1 AS landing FROM r WHERE clicks % 2 = 1
+  UNION ALL SELECT *, 2 FROM r WHERE clicks <> 21
+)"""
+
 SEARCH = """
 g AS (
   SELECT l_suppkey AS adgroup_id, s_nationkey AS campaign_id, CAST(l_shipdate AS DATE) AS date_start,
@@ -93,14 +99,15 @@ def in_season(day: str, low: int, high: int) -> str:
     return f"(month({day}) * 100 + day({day}) BETWEEN {low} AND {high})"
 
 
-def newest(key: str, columns: dict[str, str], where: str = "TRUE") -> str:
-    """Per key the attributes of its newest day, ties to the greatest attribute values."""
+def newest(key: str, columns: dict[str, str], where: str = "TRUE", source: str = "r", landing: str = "0") -> str:
+    """Per key the attributes of its newest day, ties to the later landing, then to the greatest attribute values."""
     select = ", ".join(f"{expr} AS {name}" for name, expr in columns.items())
     order = ", ".join(f"{name} DESC NULLS LAST" for name in columns)
     names = ", ".join(columns)
-    return f"""WITH {REPORT}, rows AS (SELECT {key}, date_start, {select} FROM r WHERE {where})
+    own = "" if source == "r" else f", {LANDED}"
+    return f"""WITH {REPORT}{own}, rows AS (SELECT {key}, date_start, {landing} AS landing, {select} FROM {source} WHERE {where})
 SELECT {key.split(' AS ')[-1]}, {names} FROM rows
-QUALIFY row_number() OVER (PARTITION BY {key.split(' AS ')[-1]} ORDER BY date_start DESC, {order}) = 1"""
+QUALIFY row_number() OVER (PARTITION BY {key.split(' AS ')[-1]} ORDER BY date_start DESC, landing DESC, {order}) = 1"""
 
 
 def parts(metric: str, cells: str, money: bool = False) -> str:
@@ -159,8 +166,8 @@ def current(table: str, keys: str, where: str = "TRUE") -> str:
     return f"""
   SELECT '{table}' AS table_name, account_id, CAST(count(*) AS BIGINT) AS records,
          CAST(sum(spend) AS DOUBLE) AS spend, CAST(sum(clicks) AS BIGINT) AS clicks
-  FROM (SELECT * FROM r WHERE {where}
-        QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY spend DESC, impressions DESC, reach DESC, clicks DESC) = 1)
+  FROM (SELECT * FROM landed WHERE {where}
+        QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY landing DESC, spend DESC, impressions DESC, reach DESC, clicks DESC) = 1)
   GROUP BY account_id"""
 
 
@@ -262,7 +269,7 @@ FROM r""",
 SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate, l_partkey, l_extendedprice FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                            ORDER BY CAST(l_shipdate AS DATE) DESC, l_partkey DESC, l_extendedprice DESC) = 1""",
-    "batch_lake_to_star": f"WITH {REPORT}"
+    "batch_lake_to_star": f"WITH {REPORT}, {LANDED}"
     + " UNION ALL ".join(
         (
             current("fact_fb_ad_daily", "account_id, id, date_start"),
@@ -272,6 +279,25 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
             current("fact_fb_ad_demographic_daily", "account_id, id, age, coalesce(gender, 'unknown'), date_start"),
         )
     ),
+    "batch_flat_report": f"""WITH {REPORT}, {LANDED}
+SELECT id, account_id, date_start, CAST(spend AS DOUBLE) AS spend, impressions, reach, clicks, link_clicks FROM landed
+QUALIFY row_number() OVER (PARTITION BY account_id, id, date_start
+  ORDER BY landing DESC, coalesce(name, '') DESC, spend DESC, impressions DESC, reach DESC, clicks DESC) = 1""",
+    "batch_dims": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {key} AS key, {parent} AS parent, {name} AS name, {status} AS status FROM ({rows})"
+        for table, key, parent, name, status, rows in (
+            ("dim_account", "account_id", "NULL::VARCHAR", "account_name", "NULL::VARCHAR",
+             newest("account_id", {"account_name": "coalesce(account_name, 'Unknown')"}, source="landed", landing="landing")),
+            ("dim_campaign", "campaign_id", "account_id", "campaign_name", "NULL::VARCHAR",
+             newest("campaign_id", {"account_id": "account_id", "campaign_name": "campaign_name"}, source="landed", landing="landing")),
+            ("dim_adset", "adset_id", "campaign_id", "adset_name", "NULL::VARCHAR",
+             newest("adset_id", {"campaign_id": "campaign_id", "adset_name": "adset_name"}, source="landed", landing="landing")),
+            ("dim_ad", "ad_id", "adset_id", "ad_name", "status",
+             newest("id AS ad_id", {"adset_id": "adset_id", "ad_name": "coalesce(name, 'Unknown')", "status": "'ACTIVE'"}, source="landed", landing="landing")),
+            ("dim_creative", "creative_id", "NULL::VARCHAR", "creative_title", "'Unknown'",
+             newest("creative_id", {"creative_title": "creative_name"}, "creative_id IS NOT NULL", source="landed", landing="landing")),
+        )
+    ),
     "dash_spend_by_campaign_day": f"""WITH {FACTS}, {CAMPAIGN_OF_AD}
 SELECT campaign_name, date_start, CAST(sum(spend) AS DOUBLE) AS total_spend FROM f JOIN p USING (ad_id) GROUP BY 1, 2""",
     "dash_campaign_kpis": f"""WITH {FACTS}, {CAMPAIGN_OF_AD}
@@ -356,24 +382,35 @@ SELECT l_orderkey AS ad_id, l_partkey AS creative_id, l_quantity AS weight,
 )
 SELECT ad_id, date_start, age, gender, {parts('spend', '12', money=True)}, {parts('impressions', '12')}, {parts('clicks', '12')},
        {parts('new_messaging_connections', '12')} FROM d""",
-    "alloc_assets": f"""WITH pool AS (SELECT 'Asset ' || i AS item FROM generate_series(1, 20) x(i)), {ORDER_TOTALS}, a AS (
-  SELECT ad_id, spend AS cost, impressions, clicks, messages AS all_conversions, item AS asset_name, ad_id AS row_id,
-         row_number() OVER (PARTITION BY ad_id ORDER BY md5(CAST(ad_id AS VARCHAR) || '|' || item)) AS cell
-  FROM o CROSS JOIN pool QUALIFY cell <= 4
+    "alloc_assets": f"""WITH {ORDER_TOTALS}, a AS (
+  SELECT ad_id, ad_id AS row_id, spend AS cost, impressions, clicks, messages * 0.375::DOUBLE AS all_conversions, l_linenumber AS line,
+         l_partkey AS asset_id, p_name AS asset_name, p_type AS asset_type, p_brand || ' ' || p_name AS asset_text,
+         row_number() OVER (PARTITION BY ad_id ORDER BY l_linenumber, l_partkey) AS cell, count(*) OVER (PARTITION BY ad_id) AS n
+  FROM o JOIN lineitem ON ad_id = l_orderkey JOIN part ON l_partkey = p_partkey
 ), d AS (
-  SELECT *, 500 + {hash_number("CAST(ad_id AS VARCHAR) || '_' || CAST(cell - 1 AS VARCHAR)")} % 1001 AS weight, 4000.0::DOUBLE AS den FROM a
+  SELECT *, 500 + {hash_number("CAST(ad_id AS VARCHAR) || '_' || CAST(cell - 1 AS VARCHAR)")} % 1001 AS weight, CAST(1000 * n AS DOUBLE) AS den FROM a
 ), e AS (
-  SELECT ad_id, asset_name, {parts('cost', '4', money=True)}, {parts('impressions', '4')}, {parts('clicks', '4')}, {parts('all_conversions', '4')} FROM d
+  SELECT ad_id, line, asset_id, asset_name, asset_type, asset_text, {parts('cost', 'n', money=True)}, {parts('impressions', 'n')},
+         {parts('clicks', 'n')}, {fraction_parts('all_conversions', 'n')} FROM d
 )
 SELECT *, clicks / greatest(1.0::DOUBLE, CAST(impressions AS DOUBLE)) AS ctr_fraction FROM e""",
-    "alloc_keyword": f"""WITH {SEARCH}, x AS (
-  SELECT adgroup_id, date_start, CAST(sum(cost) AS DECIMAL(18,2)) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
-         CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS DOUBLE) AS all_conversions,
+    "alloc_keyword": f"""WITH {SEARCH}, k AS (
+  SELECT p_size, lower(p_type) AS keyword, CASE WHEN min(p_partkey) % 2 = 0 THEN 'EXACT' ELSE 'PHRASE' END AS match_type
+  FROM part GROUP BY p_size, p_type
+), x AS (
+  SELECT CAST(adgroup_id AS VARCHAR) AS adgroup_id, adgroup_id % 60 AS p_size, date_start, CAST(sum(cost) AS DECIMAL(18,2)) AS cost,
+         CAST(sum(impressions) AS BIGINT) AS impressions, CAST(sum(clicks) AS BIGINT) AS clicks,
+         CAST(sum(all_conversions) AS DOUBLE) AS all_conversions,
          CAST(adgroup_id AS VARCHAR) || '_' || CAST(date_start AS VARCHAR) AS row_id
-  FROM g GROUP BY adgroup_id, date_start
-), d AS ({share_split('x', 'x.row_id', ['silver necklace', 'birthday gift', 'engagement ring'])}), e AS (
-  SELECT adgroup_id, date_start, item AS keyword, {parts('cost', '3', money=True)}, {parts('impressions', '3')}, {parts('clicks', '3')},
-         {fraction_parts('all_conversions', '3')} FROM d
+  FROM g GROUP BY g.adgroup_id, date_start
+), c AS (
+  SELECT x.*, keyword, match_type, row_number() OVER (PARTITION BY row_id ORDER BY keyword, match_type) AS cell,
+         count(*) OVER (PARTITION BY row_id) AS n FROM x JOIN k USING (p_size)
+), d AS (
+  SELECT *, 500 + {hash_number("row_id || '_' || CAST(cell - 1 AS VARCHAR)")} % 1001 AS weight, CAST(1000 * n AS DOUBLE) AS den FROM c
+), e AS (
+  SELECT adgroup_id, date_start, keyword, match_type, 'ENABLED' AS keyword_status, {parts('cost', 'n', money=True)}, {parts('impressions', 'n')},
+         {parts('clicks', 'n')}, {fraction_parts('all_conversions', 'n')} FROM d
 ), z AS (SELECT *, CAST(floor(CAST(all_conversions AS DOUBLE) * 0.8::DOUBLE) AS BIGINT) AS conversions FROM e)
 SELECT *, clicks / greatest(1.0::DOUBLE, CAST(impressions AS DOUBLE)) AS ctr_fraction,
        cost / greatest(1.0::DOUBLE, CAST(clicks AS DOUBLE)) AS average_cpc,
@@ -392,6 +429,10 @@ FROM e""",
 }
 
 
+ORACLE["batch_dims"] += f""" UNION ALL SELECT 'dim_date', CAST(date AS VARCHAR), CAST(year(date) AS VARCHAR), dayname(date), {HOLIDAY}
+FROM (WITH {SPINE} SELECT date FROM s)"""
+
+
 def _breakdown(items: tuple[str, ...], age: str, gender: str) -> str:
     last = str(len(items))
     return f"""SELECT campaign_id, date_start, {age} AS age_range, {gender} AS gender, {parts('cost', last, money=True)},
@@ -450,6 +491,18 @@ SELECT *, CASE WHEN impressions > 0 THEN clicks / impressions ELSE 0 END AS ctr_
 )
 SELECT level, date_start, CAST(id AS BIGINT) AS id, name, CAST(sum(spend) AS DOUBLE) AS spend, CAST(sum(clicks) AS BIGINT) AS clicks
 FROM u GROUP BY ALL""",
+    "batch_search": f"""WITH {SEARCH}, j AS (
+  SELECT g.* REPLACE (CASE WHEN clicks % 2 = 1 THEN impressions ELSE impressions * 2 END AS impressions), n_regionkey AS account_id
+  FROM g JOIN nation ON campaign_id = n_nationkey
+), u AS (
+  SELECT 'ad_group' AS level, CAST(adgroup_id AS VARCHAR) AS id, 'Group ' || adgroup_id AS name, * FROM j
+  UNION ALL SELECT 'campaign', CAST(campaign_id AS VARCHAR), 'Campaign ' || campaign_id, * FROM j
+  UNION ALL SELECT 'account', CAST(account_id AS VARCHAR), 'Account ' || account_id, * FROM j
+)
+SELECT level, date_start, id, name, CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(impressions) AS BIGINT) AS impressions,
+       CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(all_conversions) AS DOUBLE) AS all_conversions,
+       coalesce(CAST(sum(clicks) AS DOUBLE) / nullif(sum(impressions), 0), 0) AS ctr_fraction
+FROM u GROUP BY 1, 2, 3, 4""",
     "search_reports": f"""WITH {SEARCH}, j AS (
   SELECT g.*, s_name, n_name, n_regionkey, r_name
   FROM g JOIN supplier ON adgroup_id = s_suppkey JOIN nation ON campaign_id = n_nationkey JOIN region ON n_regionkey = r_regionkey

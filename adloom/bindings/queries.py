@@ -14,9 +14,8 @@ from adloom.functions.aliases import canonicalise
 from adloom.operators import allocation, lifetimes, rollup
 from adloom.operators.hierarchy import join_group_values
 from adloom.operators.latest import latest_version
-from adloom.plans import batch, dashboards, search, social, star
+from adloom.plans import batch, dashboards, search, search_batch, social, star
 from adloom.plans.dates import dim_date
-from adloom.session import work_dir
 from adloom.sinks import files, warehouse
 from adloom.sources import lake, messages
 from adloom.streaming import pipeline
@@ -58,7 +57,7 @@ def _event_schema() -> T.StructType:
 
 @query
 def scan_json_lake(spark, sf_dir):
-    root = work_dir(spark, "lake")
+    root = t.scratch(spark, "lake")
     files.write_landing_arrays(t.event_records(spark, sf_dir), root, "events", "landed_at")
     return _typed_events(lake.read_landing(spark, root, "events", schema=_event_schema()))
 
@@ -66,7 +65,7 @@ def scan_json_lake(spark, sf_dir):
 @query
 def scan_json_lines(spark, sf_dir):
     """Files of lines and files of arrays side by side, read with default arguments."""
-    root = work_dir(spark, "lake")
+    root = t.scratch(spark, "lake")
     records = t.event_records(spark, sf_dir)
     even = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
     files.write_landing(records.where(even), root, "events", "landed_at")
@@ -76,14 +75,14 @@ def scan_json_lines(spark, sf_dir):
 
 @query
 def scan_missing_table(spark, sf_dir):
-    absent = lake.read_landing(spark, work_dir(spark, "lake"), "absent", schema=_event_schema())
+    absent = lake.read_landing(spark, t.scratch(spark, "lake"), "absent", schema=_event_schema())
     present = t.event_records(spark, sf_dir).drop("landed_at")
     return _typed_events(absent.unionByName(present.select([F.col(c).cast("string") for c in present.columns])))
 
 
 @query
 def sink_json_partitioned(spark, sf_dir):
-    root = work_dir(spark, "lake")
+    root = t.scratch(spark, "lake")
     files.write_landing(t.event_records(spark, sf_dir), root, "events", "landed_at")
     landed = lake.read_landing(spark, root, "events", schema=_event_schema())
     folder = F.regexp_extract(
@@ -108,7 +107,7 @@ def row_counts(spark, sf_dir):
 
 @query
 def fact_month_partition(spark, sf_dir):
-    path = work_dir(spark, "facts")
+    path = t.scratch(spark, "facts")
     facts = t.ad_facts(spark, sf_dir).select("date_start", "ad_id", "creative_id", "spend", "clicks")
     files.write_by_month(facts, path, "date_start", ["ad_id", "date_start"])
     stored = spark.read.schema("ad_id bigint, spend decimal(18,2), clicks int, ym string").parquet(path)
@@ -319,15 +318,39 @@ def latest_version_query(spark, sf_dir):
     return latest_version(rows, ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
-@query
-def batch_lake_to_star(spark, sf_dir):
-    lake_root, target = work_dir(spark, "lake"), work_dir(spark, "warehouse")
-    landed_at = F.date_trunc("month", F.col("date_start").cast("timestamp")).alias("landed_at")
+def _restated(spark, sf_dir) -> DataFrame:
+    """The raw report landed twice: odd lines at double spend, and a day later all lines but the seventh."""
     raw = t.raw_report(spark, sf_dir)
-    ad_level = raw.drop("age", "gender").select("*", landed_at)
-    files.write_landing(ad_level, lake_root, "fad_ad_daily_report", "landed_at")
-    files.write_landing(raw.select("*", landed_at), lake_root, "fad_age_gender_detailed_report", "landed_at")
+    year = F.date_trunc("year", F.col("date_start").cast("timestamp"))
+    first = raw.filter("clicks % 2 = 1").withColumns({"spend": F.col("spend") * 2, "landed_at": year})
+    return first.unionByName(raw.filter("clicks <> 21").withColumn("landed_at", year + F.expr("interval 1 day")))
+
+
+#: Warehouse folders of the session's finished batch jobs, so that its outputs can be compared after one run.
+_STARS: dict[tuple[str, str], str] = {}
+
+
+def _star(spark, sf_dir, anew: bool = False) -> str:
+    """Warehouse folder of a finished batch job."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STARS or anew:
+        _STARS[key] = _run_star(spark, sf_dir)
+    return _STARS[key]
+
+
+def _run_star(spark, sf_dir) -> str:
+    lake_root, target = t.scratch(spark, "lake"), t.scratch(spark, "warehouse")
+    landed = _restated(spark, sf_dir)
+    files.write_landing(landed.drop("age", "gender"), lake_root, "fad_ad_daily_report", "landed_at")
+    files.write_landing(landed, lake_root, "fad_age_gender_detailed_report", "landed_at")
     batch.run_batch(spark, lake_root, target, "load-000001")
+    return target
+
+
+@query
+def batch_lake_to_star(spark, sf_dir):
+    """Every fact of the batch job, of two landings the later one."""
+    target = _star(spark, sf_dir, anew=True)
     parts = []
     for name in ("fact_fb_ad_daily", "fact_fb_ad_creative_daily", "fact_fb_ad_demographic_daily"):
         current = warehouse.read_current(spark, target, name)
@@ -341,6 +364,65 @@ def batch_lake_to_star(spark, sf_dir):
     return plain(search.union_breakdowns(*parts))
 
 
+@query
+def batch_dims(spark, sf_dir):
+    """The dimensions of the batch job, calendar included: (table_name, key, parent, name, status)."""
+    target = _star(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    shapes = {
+        "dim_account": ("account_id", none, F.col("account_name"), none),
+        "dim_campaign": ("campaign_id", F.col("account_id"), F.col("campaign_name"), none),
+        "dim_adset": ("adset_id", F.col("campaign_id"), F.col("adset_name"), none),
+        "dim_ad": ("ad_id", F.col("adset_id"), F.col("ad_name"), F.col("status")),
+        "dim_creative": ("creative_id", none, F.col("creative_title"), F.col("page_name")),
+        "dim_date": ("date", F.col("year").cast("string"), F.col("day_name"), F.col("holiday_name")),
+    }
+    parts = [
+        warehouse.read_current(spark, target, name).select(
+            F.lit(name).alias("table_name"),
+            F.col(key).cast("string").alias("key"),
+            parent.alias("parent"),
+            title.alias("name"),
+            status.alias("status"),
+        )
+        for name, (key, parent, title, status) in shapes.items()
+    ]
+    return search.union_breakdowns(*parts)
+
+
+@query
+def batch_flat_report(spark, sf_dir):
+    """The flat report of the batch job."""
+    flat = warehouse.read_current(spark, _star(spark, sf_dir), "fad_ad_daily_report")
+    return plain(flat.select("id", "account_id", "date_start", "spend", "impressions", "reach", "clicks", "link_clicks"))
+
+
+@query
+def batch_search(spark, sf_dir):
+    """The search job: asset rows landed twice, with fractions; level reports of the later landing of each ad's day."""
+    lake_root, target = t.scratch(spark, "lake"), t.scratch(spark, "search")
+    rows = t.search_ads(spark, sf_dir).select(
+        F.concat(F.col("adgroup_id"), F.lit("-"), F.col("clicks")).alias("ad_id"),
+        F.col("adgroup_id").cast("string").alias("adgroup_id"),
+        F.concat(F.lit("Group "), "adgroup_id").alias("adgroup_name"),
+        F.col("campaign_id").cast("string").alias("campaign_id"),
+        F.concat(F.lit("Campaign "), "campaign_id").alias("campaign_name"),
+        F.col("account_id").cast("string").alias("account_id"),
+        F.concat(F.lit("Account "), "account_id").alias("account_name"),
+        F.col("date_start").cast("string").alias("date"),
+        F.col("cost").cast("string").alias("cost"),
+        "impressions",
+        "clicks",
+        "all_conversions",
+        F.date_trunc("year", F.col("date_start").cast("timestamp")).alias("landed_at"),
+    )
+    later = F.col("landed_at") + F.expr("interval 1 day")
+    first = rows.withColumn("impressions", F.col("impressions") * 2)
+    landed = first.unionByName(rows.filter("clicks % 2 = 1").withColumn("landed_at", later))
+    files.write_landing(landed, lake_root, "gad_ad_asset_daily_report", "landed_at")
+    return plain(search_batch.run_search_batch(spark, lake_root, target, "load-000001"))
+
+
 # --- dashboards ------------------------------------------------------------------------
 
 
@@ -483,33 +565,48 @@ def alloc_demographic(spark, sf_dir):
     return plain(social.demographic_rows(rows, metrics=metrics).drop("adset_name"))
 
 
-ASSET_POOL = [f"Asset {i}" for i in range(1, 21)]
-
-
 @query
 def alloc_assets(spark, sf_dir):
-    key = F.col("ad_id").cast("string")
+    """Ad totals split over the parts the ad shows: lists of differing length, all attributes kept."""
+    parts = t.table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
+    shown = t.table(spark, sf_dir, "lineitem").join(parts, "l_partkey")
+    asset = F.struct(
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("asset_id"),
+        F.col("p_name").alias("asset_name"),
+        F.col("p_type").alias("asset_type"),
+        F.concat_ws(" ", "p_brand", "p_name").alias("asset_text"),
+    )
+    assets = shown.groupBy(F.col("l_orderkey").alias("ad_id")).agg(F.array_sort(F.collect_list(asset)).alias("assets"))
     rows = t.order_totals(spark, sf_dir).select(
         "ad_id",
         F.col("spend").alias("cost"),
         "impressions",
         "clicks",
-        F.col("new_messaging_connections").alias("all_conversions"),
-        text.stable_sample(ASSET_POOL, key, 4).alias("asset_name"),
-        F.array(*allocation.share_weights(key, 4)).alias("weights"),
+        (F.col("new_messaging_connections") * 0.375).alias("all_conversions"),
     )
-    return plain(search.asset_rows(rows, "asset_name", "weights", F.lit(4000)))
-
-
-KEYWORDS = ("silver necklace", "birthday gift", "engagement ring")
+    return plain(search.asset_rows(rows.join(assets, "ad_id"), "assets", F.col("ad_id").cast("string")))
 
 
 @query
 def alloc_keyword(spark, sf_dir):
+    """Ad-group days, staged from text, split over the group's own keywords: lists of differing length."""
+    keyword = F.struct(
+        F.lower("p_type").alias("keyword"),
+        F.when(F.min("p_partkey") % 2 == 0, "EXACT").otherwise("PHRASE").alias("match_type"),
+        F.lit("ENABLED").alias("keyword_status"),
+    )
+    types = t.table(spark, sf_dir, "part").groupBy("p_size", "p_type").agg(keyword.alias("keyword"))
+    lists = types.groupBy("p_size").agg(F.array_sort(F.collect_list("keyword")).alias("keywords"))
+    owners = t.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("adgroup_id"), (F.col("s_suppkey") % 60).alias("p_size")
+    )
     groups = t.search_ads(spark, sf_dir).groupBy("adgroup_id", "date_start").agg(*rollup.sums(list(rollup.SEARCH_METRICS)))
-    money = groups.withColumn("cost", F.col("cost").cast(clean.MONEY))
+    texts = groups.withColumnRenamed("date_start", "date").select(*[F.col(c).cast("string") for c in ("adgroup_id", "date", *rollup.SEARCH_METRICS)])
+    staged = search.stage(texts, "gad_keyword_performance_report").select("adgroup_id", "date_start", *rollup.SEARCH_METRICS)
+    listed = staged.join(owners.join(lists, "p_size").drop("p_size"), "adgroup_id")
     seed = F.concat_ws("_", "adgroup_id", "date_start")
-    return plain(search.breakdown(money, [{"keyword": k} for k in KEYWORDS], seed))
+    return plain(search.breakdown_items(listed, "keywords", seed))
 
 
 def _campaign_days(spark, sf_dir):
@@ -678,7 +775,7 @@ def hash_sample(spark, sf_dir):
         "p_partkey",
         text.stable_bucket(key, 17).alias("bucket"),
         text.stable_pick(list(allocation.DEVICES), key).alias("device"),
-        F.array_join(text.stable_sample(ASSET_POOL, key, 4), ",").alias("assets"),
+        F.array_join(text.stable_sample([f"Asset {i}" for i in range(1, 21)], key, 4), ",").alias("assets"),
     )
 
 
@@ -707,7 +804,7 @@ def string_trim(spark, sf_dir):
 
 
 def _archived(spark, sf_dir) -> DataFrame:
-    base = work_dir(spark, "stream")
+    base = t.scratch(spark, "stream")
     pipeline.start_archive(t.event_stream(spark, sf_dir), f"{base}/raw", f"{base}/checkpoint").awaitTermination()
     schema = "ingested_at string, raw_data string, platform string, report_type string"
     return spark.read.schema(schema).parquet(f"{base}/raw")
@@ -728,7 +825,7 @@ def stream_raw_archive(spark, sf_dir):
 
 @query
 def stream_route_facts(spark, sf_dir):
-    base = work_dir(spark, "stream")
+    base = t.scratch(spark, "stream")
     pipeline.run_stream(t.event_stream(spark, sf_dir), f"{base}/raw", f"{base}/warehouse", f"{base}/checkpoints")
     sub_keys = {
         "fact_fb_ad_daily": F.lit(""),

@@ -5,15 +5,26 @@ lineitem → orders → customer → nation → region plays ad row → ad → a
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.functions import clean
 from adloom.operators.hierarchy import resolve_ads
 from adloom.plans import star
+from adloom.session import work_dir
 from adloom.sources import messages
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh work folder; a local session without ``spark.checkpoint.dir``, as in a trial run, gets a temporary one."""
+    settings = spark.sparkContext.getConf()
+    if settings.contains("spark.checkpoint.dir") or not spark.sparkContext.master.startswith("local"):
+        return work_dir(spark, name)
+    return tempfile.mkdtemp(prefix=f"adloom-{name}-")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

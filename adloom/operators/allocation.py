@@ -184,6 +184,13 @@ def share_weights(seed: Column, size: int) -> list[Column]:
     return [text.stable_bucket(F.concat(seed, F.lit(f"_{i}")), 1001) + 500 for i in range(size)]
 
 
+def item_weights(seed: Column, items: str) -> Column:
+    """The same weights for a list held in the row, aligned with it."""
+    return F.transform(
+        items, lambda _, i: text.stable_bucket(F.concat(seed, F.lit("_"), i.cast("string")), 1001) + 500
+    )
+
+
 def split_open(df: DataFrame, counters: list[str], cells, weights: list[Column], denominator: Column) -> DataFrame:
     """Share split without a remainder: each cell truncates on its own, the parts need not add up."""
     with_cells = emit_cells(

@@ -28,15 +28,17 @@ def staged_schema(table: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def stage(df: DataFrame, table: str) -> DataFrame:
-    """Clean a landed search report into its typed columns."""
+def stage(df: DataFrame, table: str, extra: list[T.StructField] | None = None) -> DataFrame:
+    """Clean a landed search report into its typed columns, and ``extra`` ones."""
     renamed = df.withColumnRenamed("date", "date_start") if "date" in df.columns else df
-    return clean.conform(renamed, staged_schema(table))
+    return clean.conform(renamed, T.StructType([*staged_schema(table).fields, *(extra or [])]))
 
 
-def asset_rows(ads: DataFrame, items: str, weights: str, denominator: Column | None = None) -> DataFrame:
-    """Ad-day totals split over the ad's assets, with the click-through fraction of each asset."""
-    parts = allocation.allocate_items(ads, list(rollup.SEARCH_METRICS), items, weights, denominator)
+def asset_rows(ads: DataFrame, items: str, seed: Column) -> DataFrame:
+    """Ad-day totals split over the ad's assets (structs, all fields kept), with each asset's click-through fraction."""
+    weighted = ads.withColumn("__share", allocation.item_weights(seed, items))
+    size = F.lit(1000) * F.size(items)
+    parts = allocation.allocate_items(weighted, list(rollup.SEARCH_METRICS), items, "__share", size)
     return parts.withColumn("ctr_fraction", kpi.ratio_floored(F.col("clicks"), F.col("impressions")))
 
 
@@ -66,6 +68,13 @@ def breakdown(groups: DataFrame, cells, seed: Column) -> DataFrame:
     return with_search_ratios(parts)
 
 
+def breakdown_items(groups: DataFrame, items: str, seed: Column) -> DataFrame:
+    """The same over a list held in each row: an array of structs, all fields kept; a row without items emits nothing."""
+    weighted = groups.withColumn("__share", allocation.item_weights(seed, items))
+    size = F.lit(1000) * F.size(items)
+    return with_search_ratios(allocation.allocate_items(weighted, list(rollup.SEARCH_METRICS), items, "__share", size))
+
+
 LEVELS = {"ad_group": "adgroup_id", "campaign": "campaign_id", "account": "account_id"}
 
 

@@ -159,8 +159,8 @@ def fact_demographic_daily(report: DataFrame) -> DataFrame:
     )
 
 
-def flat_report(report: DataFrame) -> DataFrame:
-    """The denormalised report: every column of the flat warehouse table."""
+def flat_report(report: DataFrame, *extra: Column) -> DataFrame:
+    """The denormalised report: every column of the flat warehouse table, and ``extra`` ones."""
     names = {"name", "adset_name", "campaign_name", "account_name"}
     counters = {
         "impressions",
@@ -184,7 +184,7 @@ def flat_report(report: DataFrame) -> DataFrame:
             columns.append(_money("spend"))
         else:
             columns.append(F.col(field.name))
-    return valid_ads(report).select(*columns)
+    return valid_ads(report).select(*columns, *extra)
 
 
 def ad_daily_tables(report: DataFrame, default_status: str = "UNKNOWN") -> dict[str, DataFrame]:
@@ -196,7 +196,7 @@ def ad_daily_tables(report: DataFrame, default_status: str = "UNKNOWN") -> dict[
         "dim_adset": dim_adset(valid),
         "dim_ad": dim_ad(valid, default_status),
         "fact_fb_ad_daily": fact_ad_daily(report),
-        "fad_ad_daily_report": flat_report(report),
+        "fad_ad_daily_report": flat_report(report, F.col("updated_at").alias("landed_at")),
     }
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -63,16 +62,10 @@ def build_session(
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path for intermediate tables, below the cluster's shared checkpoint folder.
-
-    ``spark.checkpoint.dir`` names a folder all executors reach. Only a local-mode session
-    without that setting falls back to a temporary folder; a cluster session must set it.
-    """
+    """A fresh path for intermediate tables, below the folder all executors share (``spark.checkpoint.dir``)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="adloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/adloom/{name}-{uuid.uuid4().hex}"

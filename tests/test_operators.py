@@ -363,3 +363,24 @@ def test_fractions_and_large_money_are_split_exactly(spark):
     assert sum(r.m for r in got) == Decimal("9999999999999999.99")
     assert sum(r.f for r in got) == pytest.approx(3.7) and got[0].f == pytest.approx(3.7 / 3)
     assert [r.n for r in got] == [2, 2, 3]
+
+
+def test_breakdown_of_lists_in_rows_conserves_totals(spark):
+    df = spark.createDataFrame(
+        [
+            (1, Decimal("9999999999999999.99"), 101, 7, 3.7, [("a", "EXACT")]),
+            (2, Decimal("0.05"), 101, 7, 3.7, [("a", "EXACT"), ("b", "BROAD"), ("a", "EXACT")]),
+            (3, Decimal("1.00"), 1, 1, 1.0, []),
+            (4, None, None, None, None, [("c", "PHRASE"), ("d", None)]),
+        ],
+        "g int, cost decimal(18,2), impressions bigint, clicks bigint, all_conversions double,"
+        " keywords array<struct<keyword: string, match_type: string>>",
+    )
+    got = search.breakdown_items(df, "keywords", F.col("g").cast("string")).collect()
+    assert sorted((r.g, r.keyword, r.match_type or "") for r in got) == [
+        (1, "a", "EXACT"), (2, "a", "EXACT"), (2, "a", "EXACT"), (2, "b", "BROAD"), (4, "c", "PHRASE"), (4, "d", "")
+    ]
+    for g, cost, impressions, conversions in ((1, Decimal("9999999999999999.99"), 101, 3.7), (2, Decimal("0.05"), 101, 3.7), (4, 0, 0, 0)):
+        rows_ = [r for r in got if r.g == g]
+        assert sum(r.cost for r in rows_) == cost and sum(r.impressions for r in rows_) == impressions
+        assert sum(r.all_conversions for r in rows_) == pytest.approx(conversions)

@@ -11,7 +11,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from adloom.plans import batch, dashboards, search, star
+from adloom.plans import batch, dashboards, search, search_batch, star
 from adloom.plans.dates import dim_date
 from adloom.schemas import LANDING, PAYLOADS, WAREHOUSE, landing_schema, payload_schema
 from adloom.session import work_dir
@@ -346,6 +346,51 @@ def test_last_load_wins_without_a_version(spark):
     assert [r.spend for r in warehouse.read_current(spark, root, "fad_ad_daily_report").collect()] == [Decimal("50.00")]
 
 
+def test_later_landing_wins_within_a_load_without_a_version(spark):
+    root = work_dir(spark, "warehouse")
+    report = star.normalise(export(spark, {**AD_1, "spend": "100"}, {**AD_1, "spend": "90"}))
+    landed = F.when(F.col("spend") == 90, F.lit("2026-01-02")).otherwise("2026-01-01").cast("timestamp")
+    flat = star.ad_daily_tables(report.withColumn("updated_at", landed))["fad_ad_daily_report"]
+    warehouse.append(flat, root, "fad_ad_daily_report", "load-1")
+    assert [r.spend for r in warehouse.read_current(spark, root, "fad_ad_daily_report").collect()] == [Decimal("90.00")]
+    warehouse.compact(spark, root, "fad_ad_daily_report")
+    assert [r.spend for r in warehouse.read_current(spark, root, "fad_ad_daily_report").collect()] == [Decimal("90.00")]
+
+
+ASSET_COLUMNS = "ad_id adgroup_id adgroup_name campaign_id campaign_name account_id account_name date cost impressions clicks all_conversions landed_at"
+
+
+def landed_assets(spark, *records):
+    df = spark.createDataFrame(list(records), ", ".join(f"{c} string" for c in ASSET_COLUMNS.split()))
+    return df.withColumn("landed_at", F.col("landed_at").cast("timestamp"))
+
+
+def test_search_batch_takes_the_newest_landing_of_an_ads_day(spark):
+    lake_root, target = work_dir(spark, "lake"), work_dir(spark, "search")
+    same = ("g1", "Group", "c1", "Campaign", "a1", "Account")
+    rows_ = landed_assets(
+        spark,
+        ("x", *same, "2026-01-01", "10.50", "100", "4", "1.5", "2026-01-02 02:00:00"),
+        ("x", *same, "2026-01-01", "1.50", "bad", "2", "0.25", "2026-01-02 02:00:00"),
+        ("y", *same, "2026-01-01", "1.00", "50", "1", None, "2026-01-02 02:00:00"),
+        ("x", *same, "2026-01-01", "7.00", "60", "3", "0.75", "2026-01-03 02:00:00"),
+        ("y", *same, None, "5.00", "50", "1", "1", "2026-01-03 02:00:00"),
+    )
+    files.write_landing(rows_, lake_root, "gad_ad_asset_daily_report", "landed_at")
+    day = D(2026, 1, 1)
+    expected = [
+        ("account", day, "a1", "Account", Decimal("8.00"), 110, 4, 0.75),
+        ("ad_group", day, "g1", "Group", Decimal("8.00"), 110, 4, 0.75),
+        ("campaign", day, "c1", "Campaign", Decimal("8.00"), 110, 4, 0.75),
+    ]
+    columns = ("level", "date_start", "id", "name", "cost", "impressions", "clicks", "all_conversions")
+    for load in ("load-1", "load-1", "load-2"):  # repeated, then read again by a later load
+        got = search_batch.run_search_batch(spark, lake_root, target, load)
+        assert rows(got.select(*columns)) == expected
+    assert search_batch.read_staged(spark, target, "gad_age_report").isEmpty()
+    assert search_batch.read_staged(spark, work_dir(spark, "none"), "gad_age_report").isEmpty()
+
+
 def test_day_range_prunes_months(spark):
     root = work_dir(spark, "warehouse")
     days = [{**AD_1, "date_start": d} for d in ("2025-11-30", "2025-12-31", "2026-01-01")]
@@ -422,6 +467,13 @@ def test_kafka_options():
     assert options["failOnDataLoss"] == "false" and int(options["maxOffsetsPerTrigger"]) > 0
 
 
+def test_array_landing_leaves_no_staged_files(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    rows_ = landed_assets(spark, ("x", *["1"] * 11, "2026-01-02 02:00:00"))
+    files.write_landing_arrays(rows_, root, "t", "landed_at")
+    assert list((tmp_path / "lake" / "_staged").iterdir()) == []
+
+
 def test_work_dir_is_below_the_shared_folder(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
