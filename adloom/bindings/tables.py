@@ -19,8 +19,9 @@ from adloom.sources import messages
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh work folder; a local session without ``spark.checkpoint.dir``, as in a trial run, gets a temporary one."""
-    settings = spark.sparkContext.getConf()
-    if settings.contains("spark.checkpoint.dir") or not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().contains("spark.checkpoint.dir")
+    if known or not context.master.startswith("local"):
         return work_dir(spark, name)
     return tempfile.mkdtemp(prefix=f"adloom-{name}-")
 
