@@ -20,10 +20,10 @@ DIMENSIONS = 16
 DOCS_PER_LANGUAGE = 300
 WINDOWS = 6
 WINDOW_BYTES = (12, 1500)
-#: Share of right calibration windows that the rejection threshold may turn away, and its ceiling as a multiple of
-#: chance (windows are far shorter than most texts, so clean short texts must stay above it).
+#: Share of right calibration windows that each rejection threshold may turn away; texts with fewer subwords are held
+#: to a lower floor, as the mean of few varies more.
 REJECTED = 0.002
-MOST_CHANCE = 1.2
+FEW = 64
 UNKNOWN = "und"
 
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -32,13 +32,20 @@ _PLAIN[:128] = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c i
 
 @dataclass
 class Model:
-    """``table`` holds each bucket's logits (embedding times softmax weights); its last row is empty."""
+    """``table`` holds each bucket's logits (embedding times softmax weights); its last row is empty.
+
+    ``typical`` holds each bucket's log frequency in the class against an even spread. Its mean over a text tells learned
+    languages from all others, which the softmax cannot: ``usual`` is the mean of right windows, ``floor`` the least allowed.
+    """
 
     classes: list[str]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
+    typical: np.ndarray
+    usual: float = 0.0
+    floor: float = -np.inf
 
 
 def subwords(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
@@ -75,9 +82,9 @@ def _sums(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> np.ndarra
     return total
 
 
-def probabilities(model: Model, data: np.ndarray, offsets: np.ndarray, most: int = 1 << 19) -> np.ndarray:
-    """Calibrated class probabilities of each text, whole; long texts are summed piece by piece."""
-    counted = np.concatenate([model.table, np.ones((BUCKETS + 1, 1), np.float32)], axis=1)
+def _totals(table: np.ndarray, data: np.ndarray, offsets: np.ndarray, most: int) -> np.ndarray:
+    """``_sums`` of whole texts with a column of ones added to the table; long texts are summed piece by piece."""
+    counted = np.concatenate([table, np.ones((BUCKETS + 1, 1), np.float32)], axis=1)
     counted[BUCKETS] = 0
     sums = []
     for a, b in slices(offsets, most):
@@ -92,14 +99,42 @@ def probabilities(model: Model, data: np.ndarray, offsets: np.ndarray, most: int
                 found = subwords(piece, np.array([0, len(piece)]), width)[:own]
                 total += counted[found].sum(axis=0, dtype=np.float64)
         sums.append(total)
-    total = np.concatenate(sums) if sums else np.zeros((0, counted.shape[1]))
-    logits = total[:, :-1] / np.maximum(total[:, -1:], 1) + model.bias
+    return np.concatenate(sums) if sums else np.zeros((0, counted.shape[1]))
+
+
+def _softmax(model: Model, total: np.ndarray) -> np.ndarray:
+    k = len(model.classes)
+    logits = total[:, :k] / np.maximum(total[:, -1:], 1) + model.bias
     logits = logits / model.temperature
     logits -= logits.max(axis=1, keepdims=True)
     p = np.exp(logits)
     return p / p.sum(axis=1, keepdims=True)
 
 
+def probabilities(model: Model, data: np.ndarray, offsets: np.ndarray, most: int = 1 << 19) -> np.ndarray:
+    """Calibrated class probabilities of each text, whole; long texts are summed piece by piece."""
+    return _softmax(model, _totals(model.table, data, offsets, most))
+
+
+def judged(model: Model, data: np.ndarray, offsets: np.ndarray, most: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class probabilities, typicality for the best class, number of subwords) of each text, whole."""
+    k = len(model.classes)
+    total = _totals(np.concatenate([model.table, model.typical], axis=1), data, offsets, most)
+    p = _softmax(model, total)
+    typical = total[np.arange(len(p)), k + p.argmax(axis=1)] / np.maximum(total[:, -1], 1)
+    return p, typical, total[:, -1]
+
+
+def good(model: Model, p: np.ndarray, typical: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which texts are probable and typical enough; below FEW subwords the bounds fall, by their share of FEW to chance
+    and with the root of their number."""
+    chance = 1 / len(model.classes)
+    probable = p.max(axis=1, initial=0) >= min(chance, model.threshold) + max(0.0, model.threshold - chance) * np.minimum(size / FEW, 1)
+    if np.isneginf(model.floor):
+        return probable
+    return probable & (typical >= model.usual - (model.usual - model.floor) * np.sqrt(FEW / np.clip(size, 1, FEW)))
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of each text at places and of lengths that follow from its id alone."""
     low, high = WINDOW_BYTES
@@ -172,8 +207,14 @@ def fit(samples: list[tuple[int, str, bytes]], epochs: int = 6, rate: float = 4.
             steps += 1
     table = np.zeros((BUCKETS + 1, k), np.float32)
     table[:BUCKETS] = embedding @ weights
-    model = Model(classes, table, bias.astype(np.float64), 1.0, 0.0)
-    if aside and k > 1:
+    counts = np.full((BUCKETS, k), 0.5)
+    for (buckets, _), label, (_, _, piece) in zip(features, labels, learn, strict=True):
+        found = np.concatenate([subwords(np.frombuffer(piece, np.uint8), np.array([0, len(piece)]), width) for width in WIDTHS])
+        counts[buckets, label] += np.unique(found[found < BUCKETS], return_counts=True)[1]
+    typical = np.zeros((BUCKETS + 1, k), np.float32)
+    typical[:BUCKETS] = np.log(counts * BUCKETS / counts.sum(axis=0))
+    model = Model(classes, table, bias.astype(np.float64), 1.0, 0.0, typical)
+    if aside:
         pieces = [p for _, _, p in aside]
         data = np.frombuffer(b"".join(pieces), np.uint8)
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
@@ -184,10 +225,12 @@ def fit(samples: list[tuple[int, str, bytes]], epochs: int = 6, rate: float = 4.
             p = probabilities(model, data, offsets)
             losses[model.temperature] = -np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean()
         model.temperature = min(losses, key=losses.get)
-        p = probabilities(model, data, offsets)
-        right = p.argmax(axis=1) == truth
+        p, found, size = judged(model, data, offsets)
+        right = (p.argmax(axis=1) == truth) & (size > 0)
         if right.any():
-            model.threshold = float(min(np.quantile(p.max(axis=1)[right], REJECTED), MOST_CHANCE / k))
+            model.threshold = float(np.quantile(p.max(axis=1)[right], REJECTED, method="lower"))
+            model.usual = float(found[right].mean())
+            model.floor = float(np.quantile(found[right], REJECTED, method="lower"))
     return model
 
 
@@ -216,12 +259,12 @@ def _predictor(model: Model) -> Callable:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            p = probabilities(model, data, offsets)
+            p, typical, size = judged(model, data, offsets)
             best = p.argmax(axis=1)
             lettered = np.array(batch.column(2).to_pylist(), bool)
             langs = [model.classes[i] if ok else UNKNOWN for i, ok in zip(best, lettered, strict=True)]
             score = np.where(lettered, p[np.arange(len(best)), best], 0.0)
-            accepted = lettered & (score >= model.threshold)
+            accepted = lettered & good(model, p, typical, size)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(accepted)],
                 ["doc_id", "lang_pred", "score", "accepted"],
@@ -233,6 +276,7 @@ def _predictor(model: Model) -> Callable:
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, accepted) for every row, from the whole text alone.
 
+    Accepted are texts both probable and typical (``good``): noise and languages that were not learned are not.
     Null texts and texts without a letter are ``und`` with score 0 and are not accepted; so is every text
     if nothing could be learned. Ties go to the first language by name. A null id is kept, and
     never held out. Repeated rows repeat; extra columns are ignored; an empty table gives none.
@@ -257,8 +301,8 @@ def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
         for batch in batches:
             data, offsets = utf8(batch.column(at))
             lettered = np.array(batch.column(batch.num_columns - 1).to_pylist(), bool)
-            good = lettered & (probabilities(model, data, offsets).max(axis=1, initial=0) >= model.threshold)
-            yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(good))
+            kept = lettered & good(model, *judged(model, data, offsets))
+            yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(kept))
 
     lettered = F.coalesce(F.col(f"`{text_col}`").cast("string").rlike(r"\p{L}"), F.lit(False))
     if model is None:

@@ -246,6 +246,29 @@ def test_language_on_held_out_documents(spark):
     assert language_id.accepted(docs, model).schema == docs.schema
 
 
+UNLEARNED = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神互相对待。",
+    "for (int i = 0; i < n; i++) { x[i] = foo(bar[i], &baz); if (!x[i]) return NULL; }\n" * 8,
+]
+
+
+def test_language_rejects_unlearned_texts_and_noise(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.train(docs)
+    draw = random.Random(2)
+    noise = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz    ", k=k)) for k in (60, 200, 2000) for _ in range(20)]
+    noise += ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=900)) for _ in range(20)]
+    clean = ["Thtion.", "the of", "and the with of", "der die und", "les de la", "de la que el"]
+    rows = [(i, t) for i, t in enumerate(UNLEARNED + noise)] + [(1000 + i, t) for i, t in enumerate(clean)]
+    found = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string"), model)
+    assert {r.doc_id for r in found.where("accepted").collect()} == set(range(1000, 1000 + len(clean)))
+    kept = language_id.accepted(spark.createDataFrame(rows, "doc_id long, text string"), model)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(1000, 1000 + len(clean)))
+
+
 def test_language_reads_long_texts_in_pieces(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     model = language_id.train(docs)
