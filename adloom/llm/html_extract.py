@@ -24,6 +24,7 @@ ATTRIBUTE = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']
 NAME = re.compile(r"[a-z]+")
 #: Elements whose content is no text; elements without content; elements that begin and end a block.
 RAW = frozenset("script style noscript template textarea select title iframe svg math object".split())
+RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form"
@@ -53,7 +54,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     current: Block | None = None
-    at, links, skip, lower = 0, 0, "", page.lower() if "<" in page else ""
+    at, links = 0, 0
 
     def add(raw: str) -> None:
         nonlocal current
@@ -90,8 +91,8 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         if tag in RAW and not rest.endswith("/"):
-            end = lower.find(f"</{tag}", at)
-            at = len(page) if end < 0 else end
+            end = RAW_END[tag].search(page, at)
+            at = end.start() if end else len(page)
             continue
         if tag in VOID:
             continue

@@ -144,6 +144,12 @@ def test_pages_of_the_table(spark, labeller):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+@pytest.mark.parametrize("tag", ["script", "STYLE", "template"])
+def test_raw_elements_end_where_they_end(tag):
+    page = f"<p>{'İ' * 40} önce</p><{tag}>x = '<p>no</p>'</{tag.title()}><p>sonra</p><p>son</p>"
+    assert [b.text for b in html_extract.blocks(page)] == ["İ" * 40 + " önce", "sonra", "son"]
+
+
 def test_made_pages_that_were_not_trained_on(labeller):
     draw, wrong, total = random.Random(123), 0, 0
     words = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor".split()
