@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 import struct
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -173,6 +174,22 @@ def test_secret_network_adds_keys_and_leaves_numbers():
     assert secrets_scan.redact_text("nothing here", net) == "nothing here"
 
 
+def test_secret_network_reads_a_run_of_megabytes_in_pieces(monkeypatch):
+    net = secrets_scan.fit([])
+    draw = random.Random(3)
+    run = "".join(draw.choices("abcdefABCDEF0123456789+/", k=3_000_000))
+    window = secrets_scan._window(f"key: {run} end", 5, 5 + len(run))
+    tracemalloc.start()
+    assert len(net.logits([window])) == 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+    windows = [secrets_scan._window(f"é key: {run[:n]} end", 7, 7 + n) for n in (950, 963, 1500, 5000)]
+    whole = net.logits(windows)
+    monkeypatch.setattr(secrets_scan, "PIECE", 1000)
+    assert net.logits(windows) == pytest.approx(whole)
+
+
 def test_redaction_keeps_rows_and_columns(spark, awkward):
     df = odd(spark, awkward)
     out = secrets_scan.redact(df, secrets_scan.fit([]), "body")
