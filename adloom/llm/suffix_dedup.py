@@ -3,15 +3,18 @@
 A string of 100 bytes contains 77 substrings of 24 bytes; the one with the least hash (the leftmost of equals) is
 its anchor. Equal strings have equal anchors at the same place, so only suffixes around anchors that occur
 twice need sorting, and they need sorting only among those of the same anchor. Consecutive starts with one anchor form a run, which
-travels as one piece of text. Copies of whole documents are set aside before: all they hold starts earlier.
+travels as one piece of text. Anchors with very many runs are not sorted in one task: the strings around them are dealt
+out by their own hash, and the least start of each is found by a grouping. Copies of whole documents are set aside before: all they hold starts earlier.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,8 @@ NO_ID = 1 << 62
 PLACES = 1 << 20
 SHALLOW = 3
 AT_ONCE = 20_000
+#: Runs of one anchor that one task may sort; more of them are split by the strings they hold.
+MOST_RUNS = 20_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -77,22 +82,29 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts (k, n, text) to their runs. One run of each anchor and batch asks under the anchor's hash whether
-    it occurs elsewhere; the batch's others are known to repeat (the run's last bit) and are dealt out evenly."""
+    it occurs elsewhere, and tells how many it stands for; the batch's others are known to repeat (2 runs) and are dealt out evenly."""
     for batch in batches:
         data, offsets = utf8(batch.column(2))
         row, first, last, anchor, hashes = runs(data, offsets)
         order = np.argsort(hashes, kind="stable")
         same = hashes[order][1:] == hashes[order][:-1]
-        again, known = np.zeros(len(row), bool), np.zeros(len(row), bool)
-        again[order[1:]] = known[order[1:]] = same
-        known[order[:-1]] |= same
+        again, runs_of = np.zeros(len(row), bool), np.full(len(row), 2, np.int64)
+        again[order[1:]] = same
+        heads = np.flatnonzero(~again[order])
+        runs_of[order[heads]] = np.diff(np.append(heads, len(row)))
         k = batch.column(0).to_numpy()[row]
         route = np.where(again, mix(mix(k.view(np.uint64)) + anchor.astype(np.uint64)), hashes)
-        run = first << 15 | (anchor - first) << 8 | (last - first) << 1 | known
-        columns = [route.view(np.int64), k, batch.column(1).to_numpy()[row], run]
+        run = first << 15 | (anchor - first) << 8 | (last - first) << 1
+        columns = [route.view(np.int64), k, batch.column(1).to_numpy()[row], run, runs_of]
         for at in range(0, len(row), 1 << 16):
             part = [pa.array(c[at : at + (1 << 16)]) for c in columns]
-            yield pa.RecordBatch.from_arrays(part, ["route", "k", "n", "run"])
+            yield pa.RecordBatch.from_arrays(part, ["route", "k", "n", "run", "runs"])
+
+
+def _large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs (route, k, n, run, runs, total) to their hashes. Reading all columns keeps the shuffle below the same as that of the hits."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pc.unique(batch.column(0))], ["large"])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,11 +303,31 @@ def _solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["k", "n", "start", "end"])
 
 
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of split anchors to the digests of all strings of LENGTH bytes in them, with their starts."""
+    for batch in batches:
+        batch = batch.filter(pc.and_(batch.column(8), pc.is_valid(batch.column(7))))
+        for at in range(0, batch.num_rows, 1 << 10):
+            part = batch.slice(at, 1 << 10)
+            span = part.column(6).to_numpy()
+            digests = [
+                hashlib.blake2b(piece[i : i + LENGTH], digest_size=16).digest()
+                for piece, last in zip(part.column(7).to_pylist(), span.tolist(), strict=True)
+                for i in range(last + 1)
+            ]
+            row = np.repeat(np.arange(part.num_rows), span + 1)
+            start = part.column(4).to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(span + 1) - span - 1, span + 1)
+            columns = [pa.array(digests, pa.binary()), part.column(2).take(pa.array(row)), part.column(3).take(pa.array(row)), pa.array(start)]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "k", "n", "start"])
+
+
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of a partition, sorted by hash, to removed spans; whole hashes are solved some thousands of rows at a time."""
+    """Pieces of a partition, sorted by hash, to removed spans; whole hashes are solved some thousands of rows at a time.
+    Of split anchors only the pieces that are known to be removed whole are solved here."""
     waiting: list[pa.RecordBatch] = []
     held = 0
     for batch in batches:
+        batch = batch.filter(pc.invert(pc.and_(batch.column(8), pc.is_valid(batch.column(7)))))
         if not batch.num_rows:
             continue
         waiting.append(batch)
@@ -343,6 +375,23 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["k", "n_bytes", "spans", "kept"])
 
 
+def _dealt(texts: DataFrame) -> DataFrame:
+    """Texts (k, n, text, copy) to the pieces of their repeated runs, dealt out by hash; those of split anchors by their place."""
+    asked = texts.where("not copy").select("k", "n", "text").mapInArrow(_candidates, "route long, k long, n int, run long, runs long")
+    asked = asked.withColumn("total", F.sum("runs").over(Window.partitionBy("route")))
+    # At most one anchor in MOST_RUNS runs, 8 bytes each.
+    large = F.broadcast(asked.where(F.col("total") > MOST_RUNS).mapInArrow(_large, "large long").distinct())
+    hits = asked.where("total > 1")
+    hits = hits.groupBy("k").agg(F.collect_list(F.struct("n", "run")).alias("hits"))
+    pieces = texts.join(hits, "k").select("k", "n", "text", "hits").mapInArrow(
+        _pieces, "route long, hash long, k long, n int, first long, off long, span long, piece binary"
+    )
+    pieces = pieces.join(large, F.col("hash") == F.col("large"), "left").withColumn("split", F.col("large").isNotNull()).drop("large")
+    route = F.when(F.col("split"), F.xxhash64("route", "k", "first")).otherwise(F.col("route"))
+    # Both uses of the dealt pieces read all columns, so Spark shuffles them once.
+    return pieces.withColumn("route", route).repartition("route")
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept) for every row: each byte inside a string of 100 bytes that also starts earlier is removed.
 
@@ -353,7 +402,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Defined cases: a null text is empty; texts below 100 bytes stay whole; rows that share a doc_id are documents of their
     own, ordered by text; rows without an id come last, ordered by a hash of the text; an empty table gives none. Extra columns are ignored.
     A passage shared by any number of documents costs one row per task and variant, as equal pieces
-    are merged before they travel; copies of whole texts (equal length and SHA-256) go no further than that.
+    are merged before they travel, and above MOST_RUNS runs no task holds all variants; copies of whole
+    texts (equal length and SHA-256) go no further than that.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     no_id = F.lit(NO_ID).cast("long") + F.shiftrightunsigned(F.xxhash64(text), 3)
@@ -369,16 +419,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     texts = plain.select("k", F.row_number().over(by_id).alias("n"), "text", same_before.alias("again")).join(later, "k", "left")
     copied = F.when(F.col("copied").isNotNull(), F.array_contains("copied", F.sha2("text", 256))).otherwise(F.lit(False))
     texts = texts.select("k", "n", "text", (F.col("again") | copied).alias("copy"))
-    asked = texts.where("not copy").select("k", "n", "text").mapInArrow(_candidates, "route long, k long, n int, run long")
-    alike = Window.partitionBy("route")
-    repeats = (F.max(F.col("run").bitwiseAND(F.lit(1).cast("long"))).over(alike) == 1) | (F.count("*").over(alike) > 1)
-    hits = asked.select("k", "n", "run", repeats.alias("repeats")).where("repeats")
-    hits = hits.groupBy("k").agg(F.collect_list(F.struct("n", "run")).alias("hits"))
-    pieces = texts.join(hits, "k").select("k", "n", "text", "hits").mapInArrow(
-        _pieces, "route long, hash long, k long, n int, first long, off long, span long, piece binary"
-    )
-    pieces = pieces.repartition("route").sortWithinPartitions("hash")
-    spans = pieces.mapInArrow(_spans, "k long, n int, start long, end long")
+    pieces = _dealt(texts)
+    spans = pieces.sortWithinPartitions("hash").mapInArrow(_spans, "k long, n int, start long, end long")
+    starts = pieces.mapInArrow(_starts, "digest binary, k long, n int, start long")
+    least = starts.groupBy("digest").agg(F.min(F.struct("k", "n", "start")).alias("least"), F.count("*").alias("many")).where("many > 1")
+    later = starts.join(least.select("digest", "least"), "digest").where(F.struct("k", "n", "start") > F.col("least"))
+    spans = spans.unionByName(later.select("k", "n", "start", (F.col("start") + LENGTH).alias("end")))
     spans = spans.groupBy("k").agg(F.collect_list(F.struct("n", "start", "end")).alias("spans"))
     out = texts.join(spans, "k", "left").select("k", "n", "text", "copy", "spans")
     out = out.mapInArrow(_remove, "k long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

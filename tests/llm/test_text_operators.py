@@ -80,6 +80,25 @@ def test_suffix_dedup_equals_brute_force(spark, awkward):
     assert suffix_rows(odd(spark, rows).repartition(5)) == removed([(r[0], r[1]) for r in rows])
 
 
+@pytest.mark.parametrize("most", [1, 40])
+def test_suffix_dedup_splits_anchors_of_many_runs(spark, awkward, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "MOST_RUNS", most)
+    draw = random.Random(10)
+    make = lambda n: "".join(draw.choice("abcdefgh \n") for _ in range(n))
+    phrase, passage = make(24), make(400)
+    rows = [(1000 + i, make(90) + phrase + make(90), "en", "s") for i in range(150)]
+    for i in range(150):
+        at = draw.randrange(400)
+        rows.append((2000 + i, make(20) + passage[:at] + "é" + passage[at + 1 :] + make(20), "en", "s"))
+    texts = spark.createDataFrame([(i, 1, t, False) for i, t, _, _ in rows], "k long, n int, text string, copy boolean")
+    pieces = suffix_dedup._dealt(texts.repartition(5)).where("piece is not null")
+    assert pieces.where("not split").groupBy("hash").count().where(F.col("count") > most).isEmpty()
+    routes = collections.Counter(r.route for r in pieces.where("split").select("route").collect())
+    assert len(routes) > 200 and max(routes.values()) == 1
+    rows += [(None, passage + "x", "en", "s"), (None, "y" + passage, "en", "s")] + awkward
+    assert suffix_rows(odd(spark, rows).repartition(5)) == removed([(r[0], r[1]) for r in rows])
+
+
 def test_suffix_dedup_of_an_empty_table(spark):
     assert suffix_dedup.dedup(odd(spark, []), "id", "body").count() == 0
 
