@@ -588,3 +588,25 @@ SELECT platform, report_type, CAST(count(*) AS BIGINT) AS records FROM m GROUP B
 SELECT table_name, account_id, ad_id, sub_key, date_start, CAST(CAST(spend AS DECIMAL(18,2)) AS DOUBLE) AS spend, impressions, clicks,
        new_messaging_connections FROM u""",
 }
+
+
+def _routed_dim(table: str, report_type: str, key: str, parent: str, name: str, status: str) -> str:
+    return f"""SELECT '{table}' AS table_name, {key} AS key, {parent} AS parent, {name} AS name, {status} AS status
+  FROM m WHERE platform = 'facebook' AND report_type = '{report_type}'
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY ingested_at DESC, {parent} DESC NULLS LAST, {name} DESC NULLS LAST, {status} DESC NULLS LAST) = 1"""
+
+
+_NO = "NULL::VARCHAR"
+ORACLE["stream_dims"] = f"WITH {MESSAGES} " + " UNION ALL ".join(
+    f"SELECT * FROM ({_routed_dim(*shape)})"
+    for shape in (
+        ("dim_account", "ad_daily", "account_id", _NO, "CASE WHEN k % 3 > 0 THEN 'Account ' || k % 13 ELSE 'Unknown' END", _NO),
+        ("dim_campaign", "ad_daily", "CAST(CAST(id AS BIGINT) % 20 AS VARCHAR)", "account_id", "'Campaign ' || k % 11", _NO),
+        ("dim_adset", "ad_daily", "CAST(CAST(id AS BIGINT) % 50 AS VARCHAR)", "CAST(CAST(id AS BIGINT) % 20 AS VARCHAR)",
+         "CASE WHEN k % 5 > 0 THEN 'Set ' || k % 7 ELSE 'Unknown' END", _NO),
+        ("dim_ad", "ad_daily", "id", "CAST(CAST(id AS BIGINT) % 50 AS VARCHAR)",
+         "CASE WHEN k % 4 > 0 THEN 'Ad ' || k % 9 ELSE 'Unknown' END", "CASE WHEN k % 2 > 0 THEN 'PAUSED' ELSE 'UNKNOWN' END"),
+        ("dim_creative", "ad_creative", "CAST(k % 5 AS VARCHAR)", _NO, "'Title ' || k % 6",
+         "CASE WHEN k % 7 > 0 THEN 'Page ' || k % 8 ELSE 'Unknown' END"),
+    )
+)

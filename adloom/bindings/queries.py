@@ -364,30 +364,32 @@ def batch_lake_to_star(spark, sf_dir):
     return plain(search.union_breakdowns(*parts))
 
 
+#: Dimension → its key, parent, name and status; an empty one is NULL.
+_ENTITIES = {
+    "dim_account": ("account_id", "", "account_name", ""),
+    "dim_campaign": ("campaign_id", "account_id", "campaign_name", ""),
+    "dim_adset": ("adset_id", "campaign_id", "adset_name", ""),
+    "dim_ad": ("ad_id", "adset_id", "ad_name", "status"),
+    "dim_creative": ("creative_id", "", "creative_title", "page_name"),
+    "dim_date": ("date", "year", "day_name", "holiday_name"),
+}
+
+
+def _entities(spark, target: str, names: list[str]) -> DataFrame:
+    """Current rows of dimensions in one shape: (table_name, key, parent, name, status)."""
+    parts = []
+    for table in names:
+        shape = zip(("key", "parent", "name", "status"), _ENTITIES[table])
+        columns = [(F.col(c) if c else F.lit(None)).cast("string").alias(alias) for alias, c in shape]
+        parts.append(warehouse.read_current(spark, target, table).select(F.lit(table).alias("table_name"), *columns))
+    return search.union_breakdowns(*parts)
+
+
 @query
 def batch_dims(spark, sf_dir):
     """The dimensions of the batch job, calendar included: (table_name, key, parent, name, status)."""
     target = _star(spark, sf_dir)
-    none = F.lit(None).cast("string")
-    shapes = {
-        "dim_account": ("account_id", none, F.col("account_name"), none),
-        "dim_campaign": ("campaign_id", F.col("account_id"), F.col("campaign_name"), none),
-        "dim_adset": ("adset_id", F.col("campaign_id"), F.col("adset_name"), none),
-        "dim_ad": ("ad_id", F.col("adset_id"), F.col("ad_name"), F.col("status")),
-        "dim_creative": ("creative_id", none, F.col("creative_title"), F.col("page_name")),
-        "dim_date": ("date", F.col("year").cast("string"), F.col("day_name"), F.col("holiday_name")),
-    }
-    parts = [
-        warehouse.read_current(spark, target, name).select(
-            F.lit(name).alias("table_name"),
-            F.col(key).cast("string").alias("key"),
-            parent.alias("parent"),
-            title.alias("name"),
-            status.alias("status"),
-        )
-        for name, (key, parent, title, status) in shapes.items()
-    ]
-    return search.union_breakdowns(*parts)
+    return _entities(spark, target, list(_ENTITIES))
 
 
 @query
@@ -847,3 +849,12 @@ def stream_route_facts(spark, sf_dir):
         for name, sub_key in sub_keys.items()
     ]
     return plain(search.union_breakdowns(*parts))
+
+
+@query
+def stream_dims(spark, sf_dir):
+    """The dimensions a stream of messages leaves behind: names and parents of the newest message of each entity."""
+    base = t.scratch(spark, "stream")
+    stream = t.event_stream(spark, sf_dir, named=True)
+    pipeline.start_router(stream, f"{base}/warehouse", f"{base}/checkpoint").awaitTermination()
+    return _entities(spark, f"{base}/warehouse", ["dim_account", "dim_campaign", "dim_adset", "dim_ad", "dim_creative"])

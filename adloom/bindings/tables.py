@@ -208,8 +208,11 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_messages(events: DataFrame) -> DataFrame:
-    """Event rows (batch or stream) as wrapped report messages, one ``value`` text column."""
+def event_messages(events: DataFrame, named: bool = False) -> DataFrame:
+    """Event rows (batch or stream) as wrapped report messages, one ``value`` text column.
+
+    ``named`` messages also carry the names and parents of their ad, which change over time.
+    """
     kind = F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("int")
     report_type = (
@@ -218,7 +221,19 @@ def event_messages(events: DataFrame) -> DataFrame:
         .when(kind == "signup", "ad_set_daily")
         .otherwise("ad_daily")
     )
+    names = [
+        F.when(k % 4 > 0, F.concat(F.lit("Ad "), k % 9)).alias("name"),
+        (F.col("user_id") % 50).cast("string").alias("ad_set_id"),
+        F.when(k % 5 > 0, F.concat(F.lit("Set "), k % 7)).alias("ad_set_name"),
+        (F.col("user_id") % 20).cast("string").alias("campaign_id"),
+        F.concat(F.lit("Campaign "), k % 11).alias("campaign_name"),
+        F.when(k % 3 > 0, F.concat(F.lit("Account "), k % 13)).alias("account_name"),
+        F.when(k % 2 > 0, F.lit("PAUSED")).alias("status"),
+        F.concat(F.lit("Title "), k % 6).alias("creative_title"),
+        F.when(k % 7 > 0, F.concat(F.lit("Page "), k % 8)).alias("page_name"),
+    ]
     data = F.struct(
+        *(names if named else []),
         F.col("user_id").cast("string").alias("id"),
         (F.col("user_id") % 10).cast("string").alias("account_id"),
         F.date_format("ts", "yyyy-MM-dd").alias("date_start"),
@@ -240,8 +255,8 @@ def event_messages(events: DataFrame) -> DataFrame:
     )
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, named: bool = False) -> DataFrame:
     """Decoded messages as a stream over the events table."""
     schema = table(spark, sf_dir, "events").schema
     stream = messages.parquet_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", schema)
-    return messages.unwrap(event_messages(stream))
+    return messages.unwrap(event_messages(stream, named))

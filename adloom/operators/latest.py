@@ -25,12 +25,12 @@ def latest_version(
 
 
 def newest_attributes(df: DataFrame, key: str, attributes: list[str], versions: list[str]) -> DataFrame:
-    """Dimension rows: for each key the attributes last seen, as (key, attributes, versions).
+    """Dimension rows: for each key the attributes of its newest row, as (key, attributes, versions).
 
-    The fact-sized input first shrinks to its distinct (key, attributes) combinations by a
-    hash aggregate with map-side combine; only those few rows are ranked, by the newest of
-    each version column in turn. A key that owns a third of the input costs no more than any
-    other.
+    Versions are compared together, as one tuple: a later landing of an old day does not make
+    the old day's attributes newer. The input first shrinks by a hash aggregate with map-side
+    combine to its distinct (key, attributes, all versions but the last), and only those rows
+    are ranked, behind a group limit that lets one row per key and task through.
     """
-    seen = df.groupBy(key, *attributes).agg(*[F.max(v).alias(v) for v in versions])
-    return latest_version(seen, [key], versions[0], [*versions[1:], *attributes])
+    seen = df.groupBy(key, *attributes, *versions[:-1]).agg(F.max(versions[-1]).alias(versions[-1]))
+    return latest_version(seen, [key], versions[0], [*versions[1:], *attributes]).select(key, *attributes, *versions)

@@ -82,6 +82,17 @@ def test_newest_attributes_aggregates_before_ranking(spark):
     assert "SortAggregate" not in executed
 
 
+def test_newest_attributes_compares_versions_as_one_tuple(spark):
+    """The newest of each version column may come from different rows: such a version never existed."""
+    data = [("k", "A", 10, 1), ("k", "A", 3, 9), ("k", "B", 10, 5), (None, "n", 1, None), (None, "m", None, 7)]
+    df = spark.createDataFrame(data, "k string, name string, day int, seen int")
+    got = newest_attributes(df, "k", ["name"], ["day", "seen"])
+    assert rows(got) == [(None, "n", 1, None), ("k", "B", 10, 5)]
+    three = df.withColumn("third", F.col("seen") * 0 + 1)
+    assert rows(newest_attributes(three.where("k = 'k'"), "k", ["name"], ["day", "seen", "third"])) == [("k", "B", 10, 5, 1)]
+    assert newest_attributes(df.limit(0), "k", ["name"], ["day", "seen"]).count() == 0
+
+
 # --- joins ---
 
 
