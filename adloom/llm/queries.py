@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import byte_bpe, embedding_dedup, html_extract, language_id, mixing, quality, secrets_scan, sharding, simhash, suffix_dedup
+from adloom.llm import (
+    byte_bpe,
+    embedding_dedup,
+    hard_negatives,
+    html_extract,
+    language_id,
+    mixing,
+    quality,
+    secrets_scan,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_alignment,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -147,3 +162,85 @@ def op9_byte_bpe(spark, sf_dir):
     coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, decode=True)
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return coded.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_str_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector's five positives, searched in all vectors."""
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_str_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 10
+"""
+
+#: The five rules that fix the verdicts of op12; where none fits, the method's own globs decide.
+URL_RULES = [
+    url_filter.Rule("allow", "com"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+@query
+def op12_url_automaton(spark, sf_dir):
+    """Verdict of every page's URL by five rules and the default globs."""
+    found = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "glob")
+
+
+def _glob_pattern(glob: str) -> str:
+    """A glob as a regular expression of the SQL."""
+    return "".join({"**": "(?s:.*)", "*": "[^/]*"}.get(p) or re.escape(p) for p in re.split(r"(\*\*|\*)", glob)).replace("'", "''")
+
+
+ORACLE["op12_url_automaton"] = rf"""
+WITH u AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+r(action, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                                 ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+f AS (
+  SELECT u.page_id, u.host, u.path, r.host || r.path AS rule, r.action FROM u LEFT JOIN r
+    ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+  QUALIFY row_number() OVER (PARTITION BY u.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) = 1),
+g AS (
+  SELECT *, CASE WHEN rule IS NOT NULL OR host = '' THEN NULL
+    {' '.join(f"WHEN regexp_full_match(host || path, '{_glob_pattern(x.pattern)}') THEN '{x.pattern}'" for x in url_filter.DEFAULT_GLOBS)} END AS "glob"
+  FROM f)
+SELECT page_id, host, path, rule, "glob",
+       CASE WHEN rule IS NOT NULL THEN action WHEN host = '' OR "glob" IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM g
+"""
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    """Byte-level BPE and sentence-piece tokens of every document, cut into groups, with corpus counts of linked ids."""
+    files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = token_alignment.align(table(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("").alias("groups_sha256")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
