@@ -25,9 +25,11 @@ from tokenizers import Tokenizer
 from adloom.llm.common import mix, spool
 
 #: Texts encoded together, by characters, and stored ids aligned together; bounds a worker's memory beside the longest text.
-CHARS_AT_ONCE, TOKENS_AT_ONCE = 1 << 20, 1 << 19
+CHARS_AT_ONCE, TOKENS_AT_ONCE = 1 << 18, 1 << 17
 #: Links expanded together; a group of more links is counted by its distinct ids instead.
-LINKS_AT_ONCE = 1 << 20
+LINKS_AT_ONCE = 1 << 18
+#: Rows of an Arrow batch turned into Python values together.
+ROWS_AT_ONCE = 256
 #: Partial counts a task holds before it hands them on.
 HELD_PAIRS = 1 << 20
 #: Distinct pairs of a shard, in the mean: the size of what is broadcast (about 13 bytes a pair) and of a dense vector.
@@ -67,8 +69,7 @@ class ByteLevel:
         self.pieces = [b""] * (max([*vocabulary.values(), *(t["id"] for t in known.get("added_tokens", []))]) + 1)
         for token, i in tokens.items():
             self.pieces[i] = token
-        self.own = Tokenizer.from_str(text)
-        self.own.encode_special_tokens = True
+        self.path, self._own = path, None
         merges = [m.split(" ") if isinstance(m, str) else m for m in known["model"]["merges"]]
         ids = [vocabulary[a + b] for a, b in merges]
         split = known.get("pre_tokenizer") or {}
@@ -76,6 +77,14 @@ class ByteLevel:
         ranked = plain and ids == sorted(ids) and len(tokens) == 256 + len(ids) and not known["model"].get("ignore_merges")
         self.fast = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=tokens, special_tokens={}) if ranked else None
 
+    @property
+    def own(self) -> Tokenizer:
+        """The vocabulary's own library, loaded when it is first needed."""
+        if self._own is None:
+            self._own = Tokenizer.from_file(self.path)
+            self._own.encode_special_tokens = True
+        return self._own
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         if self.fast is None:
             return [x.ids for x in self.own.encode_batch(texts, add_special_tokens=False)]
@@ -112,6 +121,13 @@ def _tools(a_path: str, b_path: str, pattern: str) -> tuple[ByteLevel, Pieces]:
     return _WORKER["tools"]
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows; an empty batch is one slice."""
+    for batch in batches:
+        for at in range(0, max(batch.num_rows, 1), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def token_bytes(ids: list[int], pieces: list[bytes]) -> bytes:
     return b"".join(map(pieces.__getitem__, ids))
 
@@ -135,16 +151,22 @@ class Aligned:
         self.a_stop, self.b_stop = np.searchsorted(a_end, ends) + 1, np.searchsorted(b_end, ends) + 1
         self.a_start, self.b_start = (np.r_[0, stop][:-1].astype(np.int64) for stop in (self.a_stop, self.b_stop))
         self.n_a, self.n_b = self.a_stop - self.a_start, self.b_stop - self.b_start
+        self.sizes = [len(x) + len(y) for x, y in zip(a, b)]
         self.of = np.searchsorted(np.cumsum([len(x) for x in a]), self.a_start, side="right")
 
-    def listed(self) -> Iterator[tuple[int, str]]:
-        """(text, groups as ``a1,a2|b1;a3|b2,b3``) for every text that has groups."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
-        bounds = zip(self.a_start.tolist(), self.a_stop.tolist(), self.b_start.tolist(), self.b_stop.tolist())
-        groups = [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in bounds]
-        cuts = np.flatnonzero(np.r_[True, self.of[1:] != self.of[:-1]]).tolist() if groups else []
-        for at, end in zip(cuts, [*cuts[1:], len(groups)]):
-            yield int(self.of[at]), ";".join(groups[at:end])
+    def listed(self, words: list[str], n_a: int, n_b: int) -> list[str]:
+        """Groups of every text as ``a1,a2|b1;a3|b2,b3``, put together from ``separated`` words."""
+        codes = np.empty(len(self.a) + len(self.b), np.int64)
+        a, b = self.a.copy(), self.b + 2 * n_a
+        a[self.a_stop - 1] += n_a
+        b[self.b_stop - 1] += n_b
+        codes[np.arange(len(a)) + np.repeat(self.b_start, self.n_a)] = a
+        codes[np.arange(len(b)) + np.repeat(self.a_stop, self.n_b)] = b
+        out, at = [], 0
+        for n in self.sizes:
+            out.append("".join(map(words.__getitem__, codes[at : at + n].tolist()))[:-1])
+            at += n
+        return out
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """All links in bounded portions, as (text, A id, B id, how many such links)."""
@@ -171,6 +193,12 @@ class Aligned:
                 yield np.full(len(one) * len(b), self.of[g]), np.repeat(one, len(b)), np.tile(b, len(one)), np.outer(times, times_b).ravel()
 
 
+def separated(n_a: int, n_b: int) -> list[str]:
+    """Decimal ids with what follows them in a list of groups: A ids inside and at the end of a group, then B ids likewise."""
+    ends = (n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";")
+    return [f"{i}{end}" for n, end in ends for i in range(n)]
+
+
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sums of counts by key."""
     if not keys:
@@ -256,7 +284,7 @@ def _encoder(a_path: str, b_path: str, pattern: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = _tools(a_path, b_path, pattern)
         a_type, b_type = _width(len(one.pieces)), _width(len(two.pieces))
-        for batch in batches:
+        for batch in _few(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             at = 0
             while at < len(texts):
@@ -288,7 +316,7 @@ def _counter(shapes: dict) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = [], [], 0
-        for batch in batches:
+        for batch in _few(batches):
             a, b = (batch.column(i).to_pylist() for i in (0, 1))
             for _, _, one, two in _portions(a, b, shapes["a_type"], shapes["b_type"]):
                 found = _document_pairs(Aligned(one, two, shapes["a_lengths"], shapes["b_lengths"]), shapes["n_b"], shapes["n_pairs"])
@@ -378,7 +406,9 @@ def _looker(shared, shapes: dict, describe: bool) -> Callable:
         return n_best, count_sum
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        sizes_of = len(shapes["a_lengths"]), len(shapes["b_lengths"])
+        words = separated(*sizes_of) if describe else []
+        for batch in _few(batches):
             a, b = (batch.column(i).to_pylist() for i in (2, 3))
             for at, end, one, two in _portions(a, b, shapes["a_type"], shapes["b_type"]):
                 n = end - at
@@ -388,9 +418,7 @@ def _looker(shared, shapes: dict, describe: bool) -> Callable:
                 if describe:
                     n_links = np.zeros(n, np.int64)
                     np.add.at(n_links, aligned.of, aligned.n_a * aligned.n_b)
-                    groups = [""] * n
-                    for i, text in aligned.listed():
-                        groups[i] = text
+                    groups = aligned.listed(words, *sizes_of)
                     sizes = [len(x) for x in one], [len(x) for x in two], np.bincount(aligned.of, minlength=n), n_links
                     columns += [batch.column(1).slice(at, n), *(pa.array(x, pa.int64()) for x in sizes), pa.array(groups, pa.string())]
                     names += ["id", "n_a", "n_b", "n_groups", "n_links", "groups"]
