@@ -85,7 +85,9 @@ def pack(rows: DataFrame) -> DataFrame:
     The range partitioning sorts by label, first coordinate and a hash, so equal vectors, or one
     label with most rows, spread over many slabs.
     """
-    slabs = -(-rows.count() // SLAB_ROWS) or 1
+    n = rows.count()
+    # Small tables are cut finer, for the cluster's cores.
+    slabs = max(-(-n // SLAB_ROWS), min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // LEAF_ROWS)), 1)
     hashed = rows.withColumns({"__x": F.coalesce(F.try_element_at("q", F.lit(1)), F.lit(0)), "__h": F.xxhash64("id", "q")})
     ranged = hashed.repartitionByRange(slabs, "label", "__x", "__h", F.rand(5)).drop("__x", "__h")
     tiled = ranged.mapInArrow(_tiler(), ranged.schema)
