@@ -610,3 +610,60 @@ ORACLE["stream_dims"] = f"WITH {MESSAGES} " + " UNION ALL ".join(
          "CASE WHEN k % 7 > 0 THEN 'Page ' || k % 8 ELSE 'Unknown' END"),
     )
 )
+
+
+def _merged(key: str, order: str, extra: str = "") -> str:
+    """The newest version of every row after the three loads."""
+    return f"""m AS (
+  SELECT * FROM (
+    SELECT 1 AS load, 1.0 AS version, 1 AS factor, f.*{extra} FROM f
+    UNION ALL SELECT 2, 2.0, 2, f.*{extra} FROM f WHERE clicks % 2 = 1
+    UNION ALL SELECT 3, 1.5, 3, f.*{extra} FROM f WHERE date_start BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'
+  ) QUALIFY row_number() OVER (PARTITION BY {key}, date_start ORDER BY {order} DESC) = 1
+)"""
+
+
+_HISTORY = f"""{REPORT}, days AS (
+  SELECT campaign_id, date_start, account_id, campaign_name FROM r
+  QUALIFY row_number() OVER (PARTITION BY campaign_id, date_start ORDER BY account_id DESC, campaign_name DESC) = 1
+), c AS (
+  SELECT *, lag(campaign_name) OVER w AS name_before, lag(account_id) OVER w AS account_before, row_number() OVER w AS n
+  FROM days WINDOW w AS (PARTITION BY campaign_id ORDER BY date_start)
+), h AS (
+  SELECT campaign_id, account_id, campaign_name, date_start AS valid_from,
+         lead(date_start) OVER (PARTITION BY campaign_id ORDER BY date_start) AS valid_to
+  FROM c WHERE n = 1 OR name_before IS DISTINCT FROM campaign_name OR account_before IS DISTINCT FROM account_id
+)"""
+
+ORACLE |= {
+    "merge_on_write": f"""WITH {FACTS}, {_merged('ad_id, clicks', 'version')}
+SELECT strftime(date_start, '%Y%m') AS ym, CAST(count(*) AS BIGINT) AS records, CAST(sum(spend * factor) AS DOUBLE) AS spend,
+       CAST(sum(clicks) AS BIGINT) AS clicks, strftime(date_start, '%Y%m') NOT IN ('199501', '199502', '199503') AS kept FROM m GROUP BY ym, kept""",
+    "rollup_incremental": f"""WITH {FACTS}, {CAMPAIGN_OF_AD}, {_merged('ad_id, clicks', 'load')}, j AS (
+  SELECT m.*, p.adset_id, p.campaign_id, p.account_id FROM m JOIN p USING (ad_id)
+)
+SELECT date_start, level, id, CAST(count(*) AS BIGINT) AS records, CAST(sum(spend * factor) AS DOUBLE) AS spend,
+       CAST(sum(impressions) AS BIGINT) AS impressions, CAST(sum(clicks) AS BIGINT) AS clicks
+FROM (
+  SELECT *, 'adset' AS level, CAST(adset_id AS VARCHAR) AS id FROM j
+  UNION ALL SELECT *, 'campaign', CAST(campaign_id AS VARCHAR) FROM j
+  UNION ALL SELECT *, 'account', CAST(account_id AS VARCHAR) FROM j
+) GROUP BY 1, 2, 3""",
+    "dim_history": f"""WITH {_HISTORY} SELECT *, valid_to IS NULL AS is_current FROM h""",
+    "fact_as_of_history": f"""WITH {_HISTORY}
+SELECT r.date_start, r.campaign_id, h.campaign_name, CAST(sum(spend) AS DOUBLE) AS spend, CAST(sum(clicks) AS BIGINT) AS clicks
+FROM r JOIN h ON r.campaign_id = h.campaign_id AND r.date_start >= h.valid_from AND (h.valid_to IS NULL OR r.date_start < h.valid_to)
+GROUP BY 1, 2, 3""",
+    "join_overlaps": """
+WITH o AS (SELECT o_orderkey AS ad_id, o_custkey AS adset_id, CAST(o_orderdate AS DATE) AS s,
+                  CAST(o_orderdate AS DATE) + CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 15 AS e FROM orders)
+SELECT a.adset_id, a.ad_id AS ad_a, b.ad_id AS ad_b, greatest(a.s, b.s) AS overlap_start, least(a.e, b.e) AS overlap_end
+FROM o a JOIN o b ON a.adset_id = b.adset_id AND a.ad_id < b.ad_id AND a.s <= b.e AND b.s <= a.e""",
+    "cluster_two_keys": f"""WITH {FACTS}, b AS (
+  SELECT CAST(i AS INTEGER) AS box, floor((SELECT max(seg_id) FROM f) * i / 6) AS from_seg, floor((SELECT max(seg_id) FROM f) * (i + 1) / 6) AS to_seg,
+         DATE '1995-03-01' + CAST(i * 350 AS INTEGER) AS from_day, DATE '1995-03-01' + CAST(i * 350 + 90 AS INTEGER) AS to_day
+  FROM range(6) x(i)
+)
+SELECT box, CAST(count(*) AS BIGINT) AS records, CAST(sum(clicks) AS BIGINT) AS clicks, TRUE AS fewer_files
+FROM f JOIN b ON seg_id BETWEEN from_seg AND to_seg AND date_start BETWEEN from_day AND to_day GROUP BY box""",
+}

@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from adloom.bindings import tables as t
 from adloom.functions import calendar, clean, kpi, text
 from adloom.functions.aliases import canonicalise
-from adloom.operators import allocation, lifetimes, rollup
+from adloom.operators import allocation, history, intervals, lifetimes, rollup
 from adloom.operators.hierarchy import join_group_values
 from adloom.operators.latest import latest_version
-from adloom.plans import batch, dashboards, search, search_batch, social, star
+from adloom.plans import batch, dashboards, incremental, search, search_batch, social, star
 from adloom.plans.dates import dim_date
-from adloom.sinks import files, warehouse
+from adloom.sinks import files, merge, warehouse
 from adloom.sources import lake, messages
 from adloom.streaming import pipeline
 
@@ -802,6 +802,136 @@ def string_trim(spark, sf_dir):
     return t.table(spark, sf_dir, "part").select("p_partkey", text.sheet_name(title).alias("sheet"))
 
 
+# --- merged loads, histories, intervals, clustering --------------------------------------
+
+
+def _three_loads(rows: DataFrame) -> dict[str, DataFrame]:
+    """All rows; odd lines at double spend; the rows of early 1995 at triple spend, landed before the second load."""
+    at = lambda text: F.lit(text).cast("timestamp")
+    times = lambda n: (F.col("spend") * n).cast(clean.MONEY)
+    early = F.col("date_start").between("1995-01-01", "1995-03-31")
+    return {
+        "load-000001": rows.withColumn("updated_at", at("2030-01-01 00:00:00")),
+        "load-000002": rows.where("clicks % 2 = 1").withColumns({"spend": times(2), "updated_at": at("2030-01-02 00:00:00")}),
+        "load-000003": rows.where(early).withColumns({"spend": times(3), "updated_at": at("2030-01-01 12:00:00")}),
+    }
+
+
+def _single_lines(spark, sf_dir) -> DataFrame:
+    """One ad per line, so that no key repeats inside a load."""
+    return t.ad_facts(spark, sf_dir).select(
+        "date_start",
+        (F.col("seg_id") % 10).cast("string").alias("account_id"),
+        F.concat_ws("-", "ad_id", "clicks").alias("ad_id"),
+        "spend",
+        "impressions",
+        "clicks",
+    )
+
+
+@query
+def merge_on_write(spark, sf_dir):
+    """The merged daily fact after three loads by month, and whether the third one left the month's files alone."""
+    root, name = t.scratch(spark, "merged"), "fact_fb_ad_daily"
+    months = merge.months_of(spark, root, name)
+    listed = lambda: months.read().groupBy("ym").agg(F.sort_array(F.collect_set("_metadata.file_path")).alias("files"))
+    for load_id, rows in _three_loads(_single_lines(spark, sf_dir)).items():
+        warehouse.append(rows, root, name, load_id)
+        if load_id == "load-000003":
+            listed().write.parquet(f"{root}/listed")
+        merge.merge_load(spark, root, name, load_id)
+    before = spark.read.parquet(f"{root}/listed").withColumnRenamed("files", "before")
+    kept = listed().join(before, "ym", "left").select("ym", F.col("files").eqNullSafe(F.col("before")).alias("kept"))
+    merged = merge.read_merged(spark, root, name)
+    sums = merged.groupBy(F.date_format("date_start", "yyyyMM").alias("ym")).agg(
+        F.count(F.lit(1)).alias("records"), F.sum("spend").alias("spend"), F.sum("clicks").alias("clicks")
+    )
+    return plain(sums.join(kept, "ym"))
+
+
+@query
+def rollup_incremental(spark, sf_dir):
+    """Daily level sums after three loads, each merged by its signed differences."""
+    root, metrics = t.scratch(spark, "levels"), ["spend", "impressions", "clicks"]
+    parents = t.parents(spark, sf_dir).select("ad_id", "adset_id", "campaign_id", "account_id")
+    rows = t.ad_facts(spark, sf_dir).join(parents, "ad_id").select(
+        F.concat_ws("-", "ad_id", "clicks").alias("id"),
+        *[F.col(c).cast("string").alias(c) for c in ("adset_id", "campaign_id", "account_id")],
+        "date_start",
+        F.col("date_start").alias("date_stop"),
+        "spend",
+        "impressions",
+        "clicks",
+    )
+    for load_id, load in _three_loads(rows).items():
+        warehouse.append(load.drop("updated_at"), root, "fad_ad_daily_report", load_id)
+        incremental.merge_load(spark, root, "fad_ad_daily_report", load_id, metrics)
+    return plain(incremental.read_levels(spark, root, "fad_ad_daily_report", metrics))
+
+
+def _campaign_history(spark, sf_dir) -> DataFrame:
+    return history.validity(t.report(spark, sf_dir), "campaign_id", ["account_id", "campaign_name"])
+
+
+@query
+def dim_history(spark, sf_dir):
+    """Every name a campaign had, and from which day to which."""
+    return _campaign_history(spark, sf_dir)
+
+
+@query
+def fact_as_of_history(spark, sf_dir):
+    """Daily spend of campaigns under the name each had on that day."""
+    facts = t.report(spark, sf_dir).where("date_start IS NOT NULL").select("campaign_id", "date_start", "spend", "clicks")
+    named = history.as_of(facts, _campaign_history(spark, sf_dir).drop("account_id"), "campaign_id")
+    return plain(
+        named.groupBy("date_start", "campaign_id", "campaign_name").agg(F.sum("spend").alias("spend"), F.sum("clicks").alias("clicks"))
+    )
+
+
+@query
+def join_overlaps(spark, sf_dir):
+    """Pairs of ads of one ad set that ran at the same time, and when."""
+    flights = t.ads(spark, sf_dir).select(
+        "ad_id", "adset_id", "start_date", F.date_add("start_date", F.substring("priority", 1, 1).cast("int") * 15).alias("end_date")
+    )
+    pairs = intervals.overlapping_pairs(flights, "ad_id", ["adset_id"], "start_date", "end_date", 45)
+    return pairs.select("adset_id", F.col("a").alias("ad_a"), F.col("b").alias("ad_b"), "overlap_start", "overlap_end")
+
+
+@query
+def cluster_two_keys(spark, sf_dir):
+    """Six (account, day) boxes: their records, and whether fewer files match than under a single sort order."""
+    root = t.scratch(spark, "clustered")
+    facts = t.ad_facts(spark, sf_dir).select("seg_id", "date_start", "spend", "clicks")
+    columns, n = ["seg_id", "date_start"], 64
+    files.write_clustered(facts, f"{root}/z", columns, n)
+    single = facts.repartitionByRange(n, *columns).sortWithinPartitions(*columns)
+    single.write.mode("overwrite").parquet(f"{root}/single")
+    most = facts.select(F.max("seg_id")).scalar()
+    boxes = spark.range(6).select(
+        F.col("id").cast("int").alias("box"),
+        F.floor(most * F.col("id") / 6).alias("from_seg"),
+        F.floor(most * (F.col("id") + 1) / 6).alias("to_seg"),
+        F.date_add(F.lit("1995-03-01").cast("date"), F.col("id").cast("int") * 350).alias("from_day"),
+        F.date_add(F.lit("1995-03-01").cast("date"), F.col("id").cast("int") * 350 + 90).alias("to_day"),
+    )
+    matches = []
+    for layout in ("z", "single"):
+        covered = files.file_boxes(spark, f"{root}/{layout}", columns)
+        hit = F.col("low_seg_id") <= F.col("to_seg")
+        hit &= (F.col("high_seg_id") >= F.col("from_seg")) & (F.col("low_date_start") <= F.col("to_day")) & (F.col("high_date_start") >= F.col("from_day"))
+        # Both sides are tiny: six boxes, and one row per file.
+        by_box = covered.withColumn("box", F.explode(F.sequence(F.lit(0), F.lit(5)))).join(boxes, "box").groupBy("box")
+        matches.append(by_box.agg(F.count_if(hit).alias(layout)))
+    stored = spark.read.schema("seg_id bigint, date_start date, clicks int").parquet(f"{root}/z")
+    inside = stored.withColumn("box", F.explode(F.sequence(F.lit(0), F.lit(5)))).join(F.broadcast(boxes), "box")
+    inside = inside.where("seg_id BETWEEN from_seg AND to_seg AND date_start BETWEEN from_day AND to_day")
+    sums = inside.groupBy("box").agg(F.count(F.lit(1)).alias("records"), F.sum("clicks").alias("clicks"))
+    files_matched = matches[0].join(matches[1], "box").select("box", (F.col("z") < F.col("single")).alias("fewer_files"))
+    return sums.join(files_matched, "box")
+
+
 # --- streaming -------------------------------------------------------------------------
 
 
