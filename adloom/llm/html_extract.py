@@ -22,8 +22,9 @@ MARKUP = re.compile(
 )
 ATTRIBUTE = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME = re.compile(r"[a-z]+")
-#: Elements whose content is no text; elements without content; elements that begin and end a block.
-RAW = frozenset("script style noscript template textarea select title iframe svg math object".split())
+#: Elements whose content is no text of the page; elements without content; elements that begin and end a block.
+#: Formulas, drawings and fallbacks are no such elements: their text is left to the network.
+RAW = frozenset("script style template textarea select title iframe".split())
 RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -37,6 +38,8 @@ PATH_DIMS, WORD_DIMS, SCALARS, HIDDEN = 192, 64, 8, 20
 DIMS = PATH_DIMS + WORD_DIMS + SCALARS
 #: The training sample's bounds: pages of the table, and made pages.
 SAMPLE_PAGES, MADE_PAGES, LONGEST_TRAINED = 200, 700, 120
+#: Pages of so many characters and more are not drawn into the sample; they are extracted like all others.
+LONGEST_SAMPLED = 100_000
 
 
 @dataclass
@@ -92,8 +95,10 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in RAW and not rest.endswith("/"):
             end = RAW_END[tag].search(page, at)
-            at = end.start() if end else len(page)
-            continue
+            if end:
+                at = end.start()
+                continue
+            # Without its end tag it is an ordinary element, so that the rest of the page stays.
         if tag in VOID:
             continue
         for same, barrier in ((("p",), ()), (("li",), ("ul", "ol", "menu")), (("dt", "dd"), ("dl",)), (("td", "th"), ("tr", "table")), (("tr",), ("table",))):
@@ -393,7 +398,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") ->
     """The labeller, from SAMPLE_PAGES pages of the table (least hashed ids) and MADE_PAGES made ones."""
     ids = pages.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
     ids = [r.id for r in ids.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PAGES).collect()]
-    chosen = pages.where(F.col(id_col).cast("long").isin(ids) & (F.length(html_col) < 100_000)).groupBy(F.col(id_col).alias("id"))
+    chosen = pages.where(F.col(id_col).cast("long").isin(ids) & (F.length(html_col) < LONGEST_SAMPLED)).groupBy(F.col(id_col).alias("id"))
     return fit([r.page for r in chosen.agg(F.min(html_col).alias("page")).collect()])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,45 @@ def _per_row(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def _checked(keys: np.ndarray, same: Callable, names: Callable) -> np.ndarray:
+    """The hashes, if equal ones stand for equal things (``same``, asked of neighbours in sorted order); else exact ``names``."""
+    order = np.argsort(keys, kind="stable")
+    pair = np.flatnonzero(keys[order][1:] == keys[order][:-1])
+    return keys if same(order[pair + 1], order[pair]).all() else names().astype(np.uint64)
+
+
+def _checked_columns(keys: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    """The same for rows of numbers."""
+
+    def same(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.logical_and.reduce([c[i] == c[j] for c in columns])
+
+    return _checked(keys, same, lambda: np.unique(np.stack(columns, axis=1), axis=0, return_inverse=True)[1].ravel())
+
+
+def _checked_bytes(keys: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The same for runs of bytes, compared byte by byte."""
+
+    def same(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        if not len(i) or (sizes[i] != sizes[j]).any():
+            return sizes[i] == sizes[j]
+        before = np.cumsum(sizes[i]) - sizes[i]
+        place = np.arange(int(sizes[i].sum())) - np.repeat(before, sizes[i])
+        return data[np.repeat(starts[i], sizes[i]) + place] == data[np.repeat(starts[j], sizes[i]) + place]
+
+    def names() -> np.ndarray:
+        known: dict[bytes, int] = {}
+        raw = data.tobytes()
+        return np.array([known.setdefault(raw[a : a + n], len(known)) for a, n in zip(starts.tolist(), sizes.tolist())], np.uint64)
+
+    return _checked(keys, same, names)
+
+
 def _segments(data: np.ndarray, inner: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, hash, code points) of segments: runs of bytes flagged ``inner`` that begin where ``first`` is set."""
+    """(start, hash, code points) of segments: runs of bytes flagged ``inner`` that begin where ``first`` is set.
+
+    Equal hashes are compared by their bytes: a polynomial modulo a power of two is equal for some different long texts.
+    """
     at = np.flatnonzero(inner)
     begins = np.flatnonzero(first[at])
     if not len(begins):
@@ -44,6 +81,7 @@ def _segments(data: np.ndarray, inner: np.ndarray, first: np.ndarray) -> tuple[n
     own = data[at]
     values = (own.astype(np.uint64) + np.uint64(1)) * powers(BASE, int(sizes.max()))[place]
     hashes = mix(np.add.reduceat(values, begins) + sizes.astype(np.uint64))
+    hashes = _checked_bytes(hashes, data, at[begins], sizes)
     return at[begins], hashes, np.add.reduceat(((own & 0xC0) != 0x80).astype(np.int64), begins)
 
 
@@ -81,7 +119,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     worded = worded[line_ends] > worded[line_starts]
     line_starts, lines, line_chars = line_starts[worded], lines[worded], line_chars[worded]
     line_owner = np.searchsorted(offsets, line_starts, side="right") - 1
-    _, again = _repeated(mix(lines + mix(line_owner.astype(np.uint64))))
+    _, again = _repeated(_checked_columns(mix(lines + mix(line_owner.astype(np.uint64))), [lines, line_owner]))
     line_bounds = np.searchsorted(line_starts, offsets)
     out["n_dup_lines"] = _per_row(again, line_bounds)
     out["dup_line_chars"] = _per_row(np.where(again, line_chars, 0), line_bounds)
@@ -95,7 +133,8 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         grams = np.zeros(len(candidates), np.uint64)
         for j in range(k):
             grams += words[candidates + j] * factors[j]
-        many, _ = _repeated(mix(grams) + salt[candidates])
+        keys = _checked_columns(mix(grams) + salt[candidates], [owner[candidates], *(words[candidates + j] for j in range(k))])
+        many, _ = _repeated(keys)
         candidates = candidates[many]
         cover = np.zeros(len(words) + 1, np.int64)
         np.add.at(cover, candidates, 1)

@@ -23,8 +23,8 @@ from adloom.llm.common import mix, powers, slices, utf8
 #: Bytes of a repeated string, starts that compete for an anchor, bytes of an anchor.
 LENGTH, STARTS = 100, 77
 ANCHOR = LENGTH - STARTS + 1
-#: Rows without an id come after all others, by a hash of their text.
-NO_ID = 1 << 62
+#: Rows without an id carry a hash of their text as ``k`` and count ``n`` from here; they come after all others.
+NO_ID = 1 << 30
 #: Bytes hashed together; words of 8 bytes that the shallow sort looks at; rows solved together.
 PLACES = 1 << 20
 SHALLOW = 3
@@ -121,7 +121,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = own == numbers[row]
         row, places = row[mine], places[mine]
         first, off, span = places >> 15, places >> 8 & 127, places >> 1 & 127
-        order = np.lexsort((first, numbers[row], keys[row]))
+        order = np.lexsort((first, numbers[row], keys[row], numbers[row] > NO_ID))
         row, first, off, span = row[order], first[order], off[order], span[order]
         base = offsets[row] + first
         hashes = np.zeros(len(row), np.uint64)
@@ -290,7 +290,7 @@ def _solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
     left = left[counts[inverse] > 1]
     if len(left):
         rank = np.empty(len(left), np.int64)
-        order = np.lexsort((n[left], k[left]))
+        order = np.lexsort((n[left], k[left], n[left] > NO_ID))
         new = (k[left][order][1:] != k[left][order][:-1]) | (n[left][order][1:] != n[left][order][:-1])
         rank[order] = np.concatenate([[0], np.cumsum(new)])
         pieces = table["piece"].take(pa.array(left)).to_pylist()
@@ -406,27 +406,32 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     texts (equal length and SHA-256) go no further than that.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    no_id = F.lit(NO_ID).cast("long") + F.shiftrightunsigned(F.xxhash64(text), 3)
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), no_id).alias("k"), text.alias("text"))
+    known = F.col(id_col).cast("long")
+    plain = docs.select(F.coalesce(known, F.xxhash64(text)).alias("k"), known.isNull().alias("absent"), text.alias("text"))
     # Later copies of whole texts, by digest: narrow rows only.
-    digests = plain.where(F.octet_length("text") >= LENGTH).select("k", F.sha2("text", 256).alias("digest"))
-    firsts = digests.groupBy("digest").agg(F.min("k").alias("first"), F.count("*").alias("many")).where("many > 1")
-    later = digests.join(firsts.select("digest", "first"), "digest").where("k > first")
-    later = later.groupBy("k").agg(F.collect_set("digest").alias("copied"))
-    by_id = Window.partitionBy("k").orderBy("text")
+    digests = plain.where(F.octet_length("text") >= LENGTH).select("k", "absent", F.sha2("text", 256).alias("digest"))
+    # Least (absent, k) by two plain minima, as those are combined by hash before they travel.
+    known_k = F.when(~F.col("absent"), F.col("k"))
+    firsts = digests.groupBy("digest").agg(F.min(known_k).alias("first"), F.min("k").alias("first_absent"), F.count("*").alias("many")).where("many > 1")
+    after = F.when(F.col("absent"), F.col("first").isNotNull() | (F.col("k") > F.col("first_absent"))).otherwise(F.col("k") > F.col("first"))
+    later = digests.join(firsts.drop("many"), "digest").where(after)
+    later = later.groupBy("k", "absent").agg(F.collect_set("digest").alias("copied"))
+    by_id = Window.partitionBy("k", "absent").orderBy("text")
     same_before = F.coalesce(F.lag("text").over(by_id) == F.col("text"), F.lit(False))
     # All three uses below read the same columns, so Spark shuffles the texts once.
-    texts = plain.select("k", F.row_number().over(by_id).alias("n"), "text", same_before.alias("again")).join(later, "k", "left")
+    number = F.row_number().over(by_id) + F.when(F.col("absent"), NO_ID).otherwise(0)
+    texts = plain.select("k", "absent", number.alias("n"), "text", same_before.alias("again")).join(later, ["k", "absent"], "left")
     copied = F.when(F.col("copied").isNotNull(), F.array_contains("copied", F.sha2("text", 256))).otherwise(F.lit(False))
     texts = texts.select("k", "n", "text", (F.col("again") | copied).alias("copy"))
     pieces = _dealt(texts)
     spans = pieces.sortWithinPartitions("hash").mapInArrow(_spans, "k long, n int, start long, end long")
     starts = pieces.mapInArrow(_starts, "digest binary, k long, n int, start long")
-    least = starts.groupBy("digest").agg(F.min(F.struct("k", "n", "start")).alias("least"), F.count("*").alias("many")).where("many > 1")
-    later = starts.join(least.select("digest", "least"), "digest").where(F.struct("k", "n", "start") > F.col("least"))
+    place = F.struct((F.col("n") > NO_ID).alias("absent"), "k", "n", "start")
+    least = starts.groupBy("digest").agg(F.min(place).alias("least"), F.count("*").alias("many")).where("many > 1")
+    later = starts.join(least.select("digest", "least"), "digest").where(place > F.col("least"))
     spans = spans.unionByName(later.select("k", "n", "start", (F.col("start") + LENGTH).alias("end")))
     spans = spans.groupBy("k").agg(F.collect_list(F.struct("n", "start", "end")).alias("spans"))
-    out = texts.join(spans, "k", "left").select("k", "n", "text", "copy", "spans")
+    doc_id = F.when(F.col("n") < NO_ID, F.col("k")).alias("k")
+    out = texts.join(spans, "k", "left").select(doc_id, "n", "text", "copy", "spans")
     out = out.mapInArrow(_remove, "k long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
-    doc_id = F.when(F.col("k") < NO_ID, F.col("k"))
-    return out.select(doc_id.alias("doc_id"), "n_bytes", "spans", "kept")
+    return out.select(F.col("k").alias("doc_id"), "n_bytes", "spans", "kept")
