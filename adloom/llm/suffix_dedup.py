@@ -415,13 +415,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     firsts = digests.groupBy("digest").agg(F.min(known_k).alias("first"), F.min("k").alias("first_absent"), F.count("*").alias("many")).where("many > 1")
     after = F.when(F.col("absent"), F.col("first").isNotNull() | (F.col("k") > F.col("first_absent"))).otherwise(F.col("k") > F.col("first"))
     later = digests.join(firsts.drop("many"), "digest").where(after)
-    later = later.groupBy("k", "absent").agg(F.collect_set("digest").alias("copied"))
-    by_id = Window.partitionBy("k", "absent").orderBy("text")
+    later = later.groupBy("k").agg(F.collect_set(F.concat("absent", "digest")).alias("copied"))
+    by_id = Window.partitionBy("k").orderBy("absent", "text")
     same_before = F.coalesce(F.lag("text").over(by_id) == F.col("text"), F.lit(False))
     # All three uses below read the same columns, so Spark shuffles the texts once.
     number = F.row_number().over(by_id) + F.when(F.col("absent"), NO_ID).otherwise(0)
-    texts = plain.select("k", "absent", number.alias("n"), "text", same_before.alias("again")).join(later, ["k", "absent"], "left")
-    copied = F.when(F.col("copied").isNotNull(), F.array_contains("copied", F.sha2("text", 256))).otherwise(F.lit(False))
+    texts = plain.select("k", "absent", number.alias("n"), "text", same_before.alias("again")).join(later, "k", "left")
+    copied = F.when(F.col("copied").isNotNull(), F.array_contains("copied", F.concat("absent", F.sha2("text", 256)))).otherwise(F.lit(False))
     texts = texts.select("k", "n", "text", (F.col("again") | copied).alias("copy"))
     pieces = _dealt(texts)
     spans = pieces.sortWithinPartitions("hash").mapInArrow(_spans, "k long, n int, start long, end long")
