@@ -660,10 +660,18 @@ WITH o AS (SELECT o_orderkey AS ad_id, o_custkey AS adset_id, CAST(o_orderdate A
 SELECT a.adset_id, a.ad_id AS ad_a, b.ad_id AS ad_b, greatest(a.s, b.s) AS overlap_start, least(a.e, b.e) AS overlap_end
 FROM o a JOIN o b ON a.adset_id = b.adset_id AND a.ad_id < b.ad_id AND a.s <= b.e AND b.s <= a.e""",
     "cluster_two_keys": f"""WITH {FACTS}, b AS (
-  SELECT CAST(i AS INTEGER) AS box, floor((SELECT max(seg_id) FROM f) * i / 6) AS from_seg, floor((SELECT max(seg_id) FROM f) * (i + 1) / 6) AS to_seg,
+  SELECT CAST(i AS INTEGER) AS box, floor((SELECT max(creative_id) FROM f) * i / 6) AS from_id, floor((SELECT max(creative_id) FROM f) * (i + 1) / 6) AS to_id,
          DATE '1995-03-01' + CAST(i * 350 AS INTEGER) AS from_day, DATE '1995-03-01' + CAST(i * 350 + 90 AS INTEGER) AS to_day
   FROM range(6) x(i)
 )
 SELECT box, CAST(count(*) AS BIGINT) AS records, CAST(sum(clicks) AS BIGINT) AS clicks, TRUE AS fewer_files
-FROM f JOIN b ON seg_id BETWEEN from_seg AND to_seg AND date_start BETWEEN from_day AND to_day GROUP BY box""",
+FROM f JOIN b ON creative_id BETWEEN from_id AND to_id AND date_start BETWEEN from_day AND to_day GROUP BY box""",
+}
+
+ORACLE |= {
+    "stream_dedup": f"WITH {MESSAGES} SELECT DISTINCT platform, report_type, ingested_at, id, spend, k FROM m",
+    "stream_windows": f"""WITH {MESSAGES}
+SELECT date_start, platform, report_type, CAST(count(*) AS BIGINT) AS records,
+       CAST(sum(CAST(spend AS DECIMAL(18,2))) AS DOUBLE) AS spend, CAST(sum(k) AS BIGINT) AS clicks
+FROM m WHERE date_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY GROUP BY 1, 2, 3""",
 }

@@ -901,32 +901,32 @@ def join_overlaps(spark, sf_dir):
 
 @query
 def cluster_two_keys(spark, sf_dir):
-    """Six (account, day) boxes: their records, and whether fewer files match than under a single sort order."""
+    """Six (creative, day) boxes: their records, and whether fewer files match than under a single sort order."""
     root = t.scratch(spark, "clustered")
-    facts = t.ad_facts(spark, sf_dir).select("seg_id", "date_start", "spend", "clicks")
-    columns, n = ["seg_id", "date_start"], 64
+    facts = t.ad_facts(spark, sf_dir).select("creative_id", "date_start", "spend", "clicks")
+    columns, n = ["creative_id", "date_start"], 64
     files.write_clustered(facts, f"{root}/z", columns, n)
     single = facts.repartitionByRange(n, *columns).sortWithinPartitions(*columns)
     single.write.mode("overwrite").parquet(f"{root}/single")
-    most = facts.select(F.max("seg_id")).scalar()
+    most = facts.select(F.max("creative_id")).scalar()
     boxes = spark.range(6).select(
         F.col("id").cast("int").alias("box"),
-        F.floor(most * F.col("id") / 6).alias("from_seg"),
-        F.floor(most * (F.col("id") + 1) / 6).alias("to_seg"),
+        F.floor(most * F.col("id") / 6).alias("from_id"),
+        F.floor(most * (F.col("id") + 1) / 6).alias("to_id"),
         F.date_add(F.lit("1995-03-01").cast("date"), F.col("id").cast("int") * 350).alias("from_day"),
         F.date_add(F.lit("1995-03-01").cast("date"), F.col("id").cast("int") * 350 + 90).alias("to_day"),
     )
     matches = []
     for layout in ("z", "single"):
         covered = files.file_boxes(spark, f"{root}/{layout}", columns)
-        hit = F.col("low_seg_id") <= F.col("to_seg")
-        hit &= (F.col("high_seg_id") >= F.col("from_seg")) & (F.col("low_date_start") <= F.col("to_day")) & (F.col("high_date_start") >= F.col("from_day"))
+        hit = F.col("low_creative_id") <= F.col("to_id")
+        hit &= (F.col("high_creative_id") >= F.col("from_id")) & (F.col("low_date_start") <= F.col("to_day")) & (F.col("high_date_start") >= F.col("from_day"))
         # Both sides are tiny: six boxes, and one row per file.
         by_box = covered.withColumn("box", F.explode(F.sequence(F.lit(0), F.lit(5)))).join(boxes, "box").groupBy("box")
         matches.append(by_box.agg(F.count_if(hit).alias(layout)))
-    stored = spark.read.schema("seg_id bigint, date_start date, clicks int").parquet(f"{root}/z")
+    stored = spark.read.schema("creative_id bigint, date_start date, clicks int").parquet(f"{root}/z")
     inside = stored.withColumn("box", F.explode(F.sequence(F.lit(0), F.lit(5)))).join(F.broadcast(boxes), "box")
-    inside = inside.where("seg_id BETWEEN from_seg AND to_seg AND date_start BETWEEN from_day AND to_day")
+    inside = inside.where("creative_id BETWEEN from_id AND to_id AND date_start BETWEEN from_day AND to_day")
     sums = inside.groupBy("box").agg(F.count(F.lit(1)).alias("records"), F.sum("clicks").alias("clicks"))
     files_matched = matches[0].join(matches[1], "box").select("box", (F.col("z") < F.col("single")).alias("fewer_files"))
     return sums.join(files_matched, "box")
@@ -988,3 +988,38 @@ def stream_dims(spark, sf_dir):
     stream = t.event_stream(spark, sf_dir, named=True)
     pipeline.start_router(stream, f"{base}/warehouse", f"{base}/checkpoint").awaitTermination()
     return _entities(spark, f"{base}/warehouse", ["dim_account", "dim_campaign", "dim_adset", "dim_ad", "dim_creative"])
+
+
+def _deliveries(spark, base: str) -> DataFrame:
+    """Decoded messages of the parquet files in a folder, one file per micro-batch."""
+    reader = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1)
+    return messages.unwrap(reader.parquet(f"{base}/in"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Messages delivered twice at once, and a third time after a restart: each passes once."""
+    base = t.scratch(spark, "stream")
+    sent = t.event_messages(t.table(spark, sf_dir, "events"))
+    sent.union(sent).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    for again in (True, False):
+        distinct = pipeline.distinct_messages(_deliveries(spark, base), "30 days")
+        pipeline.start_files(distinct, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        if again:
+            sent.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    payload = F.from_json("raw_data", "id string, spend string, clicks string")
+    kept = spark.read.schema("platform string, report_type string, ingested_at string, raw_data string").parquet(f"{base}/out")
+    return kept.select("platform", "report_type", "ingested_at", payload.alias("d")).select(
+        "platform", "report_type", "ingested_at", "d.id", clean.to_double(F.col("d.spend")).alias("spend"), clean.to_int(F.col("d.clicks")).alias("k")
+    )
+
+
+@query
+def stream_windows(spark, sf_dir):
+    """Daily sums of the message stream by event time; the days the watermark has closed."""
+    base = t.scratch(spark, "stream")
+    sums = pipeline.windowed_sums(t.event_stream(spark, sf_dir), "1 day", "2 days")
+    pipeline.start_files(sums, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    shape = "window_start timestamp, platform string, report_type string, records bigint, spend decimal(28,2), clicks bigint"
+    found = spark.read.schema(shape).parquet(f"{base}/out")
+    return plain(found.select(F.to_date("window_start").alias("date_start"), "platform", "report_type", "records", "spend", "clicks"))

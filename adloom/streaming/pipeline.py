@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from adloom.functions import clean
 from adloom.plans import star
 from adloom.sinks import warehouse
 from adloom.sources.messages import parse_payload
@@ -73,6 +74,60 @@ def write_batch(warehouse_root: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def timed(messages: DataFrame, delay: str) -> DataFrame:
+    """Decoded messages with ``event_time`` (the envelope's ingest time) and a watermark of ``delay``.
+
+    Messages without a readable time have no place in event time and are left out; any stand-in
+    would be late itself or make others late. The raw archive keeps them (``undated``).
+    """
+    dated = messages.withColumn("event_time", F.try_to_timestamp("ingested_at")).where("event_time IS NOT NULL")
+    return dated.withWatermark("event_time", delay)
+
+
+def undated(messages: DataFrame) -> DataFrame:
+    """Decoded messages without a readable ingest time."""
+    return messages.where(F.try_to_timestamp("ingested_at").isNull())
+
+
+def distinct_messages(messages: DataFrame, delay: str = "2 days") -> DataFrame:
+    """A stream without redelivered messages: of equal envelopes only the first passes, in whatever micro-batch it comes.
+
+    State holds a digest per message for ``delay`` beyond its event time, then lets it go, so it is
+    bounded by the traffic of that time and survives restarts with the checkpoint. A repeat later
+    than that is late by the watermark and dropped as such.
+    """
+    parts = [F.coalesce(F.col(c), F.lit("\0")) for c in ("platform", "report_type", "ingested_at", "raw_data")]
+    digest = F.sha2(F.concat_ws("\1", *parts), 256)
+    kept = timed(messages, delay).withColumn("__digest", digest).dropDuplicatesWithinWatermark(["__digest"])
+    return kept.drop("__digest", "event_time")
+
+
+def windowed_sums(messages: DataFrame, width: str = "1 day", delay: str = "2 days") -> DataFrame:
+    """Sums per event-time window and route: (window_start, window_end, platform, report_type, records, spend, clicks).
+
+    In append mode a window is given once, when the watermark has passed its end; state holds
+    the open windows only. Rows later than that are dropped and counted (``late_rows``).
+    """
+    fields = F.from_json("raw_data", "spend string, clicks string")
+    rows = timed(messages, delay).select(
+        "event_time", "platform", "report_type", clean.to_money(fields["spend"]).alias("spend"), clean.to_int(fields["clicks"], target="bigint").alias("clicks")
+    )
+    grouped = rows.groupBy(F.window("event_time", width), "platform", "report_type")
+    sums = grouped.agg(F.count(F.lit(1)).alias("records"), F.sum("spend").alias("spend"), F.sum("clicks").alias("clicks"))
+    return sums.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *sums.columns[1:])
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a query has dropped behind its watermark, over the progress reports it still holds."""
+    return sum(op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"])
+
+
+def start_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append a stream to parquet files until caught up; a restart with the same checkpoint goes on where it stopped."""
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return writer.outputMode("append").trigger(availableNow=True).start()
+
+
 def start_archive(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append decoded messages to the raw zone, by platform and report type, until caught up."""
     return (
