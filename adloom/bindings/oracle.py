@@ -675,3 +675,7 @@ SELECT date_start, platform, report_type, CAST(count(*) AS BIGINT) AS records,
        CAST(sum(CAST(spend AS DECIMAL(18,2))) AS DOUBLE) AS spend, CAST(sum(k) AS BIGINT) AS clicks
 FROM m WHERE date_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY GROUP BY 1, 2, 3""",
 }
+
+ORACLE["reach_by_sketch"] = f"""WITH e AS (SELECT user_id, CAST({K} AS INTEGER) AS k FROM events), u AS (
+  SELECT 'ad' AS level, k AS id, user_id FROM e UNION ALL SELECT 'campaign', k % 10, user_id FROM e UNION ALL SELECT 'all', 0, user_id FROM e
+) SELECT level, id, CAST(count(DISTINCT user_id) AS BIGINT) AS people, TRUE AS within_error FROM u GROUP BY 1, 2"""

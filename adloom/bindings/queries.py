@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from adloom.bindings import tables as t
 from adloom.functions import calendar, clean, kpi, text
 from adloom.functions.aliases import canonicalise
-from adloom.operators import allocation, history, intervals, lifetimes, rollup
+from adloom.operators import allocation, history, intervals, lifetimes, rollup, sketches
 from adloom.operators.hierarchy import join_group_values
 from adloom.operators.latest import latest_version
 from adloom.plans import batch, dashboards, incremental, search, search_batch, social, star
@@ -932,6 +932,20 @@ def cluster_two_keys(spark, sf_dir):
     return sums.join(files_matched, "box")
 
 
+@query
+def reach_by_sketch(spark, sf_dir):
+    """Distinct people of ads, campaigns and all, from daily sketches: the exact number, and whether the estimate is near it."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    seen = t.table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), k.alias("ad_id"), (k % 10).alias("campaign_id"))
+    levels = {"ad": F.col("ad_id"), "campaign": F.col("campaign_id"), "all": F.lit(0)}
+    shown = lambda df: search.union_breakdowns(*[df.select(F.lit(n).alias("level"), c.alias("id"), df.columns[-1]) for n, c in levels.items()])
+    daily = sketches.reach_sketches(seen, ["day", "ad_id", "campaign_id"], "user_id")
+    found = sketches.estimated(sketches.united(shown(daily), ["level", "id"]))
+    exact = shown(seen.select("ad_id", "campaign_id", "user_id")).groupBy("level", "id").agg(F.countDistinct("user_id").alias("people"))
+    near = F.abs(F.col("reach") - F.col("people")) <= F.greatest(F.lit(1.0), F.col("people") * sketches.relative_error())
+    return exact.join(found, ["level", "id"]).select("level", "id", "people", near.alias("within_error"))
+
+
 # --- streaming -------------------------------------------------------------------------
 
 

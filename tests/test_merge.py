@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from adloom.operators import history, intervals, rollup
+from adloom.operators import history, intervals, rollup, sketches
 from adloom.plans import incremental
 from adloom.sinks import files, merge, warehouse
 from tests.conftest import plan, rows
@@ -262,3 +262,19 @@ def test_clustering_of_equal_null_and_no_rows(spark, tmp_path):
     files.write_clustered(same.limit(0), f"{tmp_path}/none", ["k", "d"], 8)
     assert spark.read.schema(same.schema).parquet(f"{tmp_path}/none").count() == 0
     assert spark.range(1).select(files.interleaved([F.lit(3), F.lit(0)], 2).alias("a"), files.interleaved([F.lit(0), F.lit(3)], 2).alias("b")).first() == (10, 5)
+
+
+# --- sketches ---
+
+
+def test_united_sketches_count_a_person_once(spark):
+    df = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("ad"), F.when(F.col("id") % 100 > 0, F.col("id") % 5000).alias("person")
+    )
+    daily = sketches.reach_sketches(df, ["ad"], "person")
+    whole = sketches.estimated(sketches.united(daily, [])).first().reach
+    exact = df.select("person").where("person IS NOT NULL").distinct().count()
+    assert abs(whole - exact) <= exact * sketches.relative_error()
+    assert sketches.estimated(daily).where("ad = 0").first().reach > 0
+    assert sketches.estimated(sketches.reach_sketches(df.where("person IS NULL"), ["ad"], "person")).where("reach <> 0").count() == 0
+    assert sketches.reach_sketches(df.limit(0), ["ad"], "person").count() == 0
