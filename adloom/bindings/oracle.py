@@ -679,3 +679,31 @@ FROM m WHERE date_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTER
 ORACLE["reach_by_sketch"] = f"""WITH e AS (SELECT user_id, CAST({K} AS INTEGER) AS k FROM events), u AS (
   SELECT 'ad' AS level, k AS id, user_id FROM e UNION ALL SELECT 'campaign', k % 10, user_id FROM e UNION ALL SELECT 'all', 0, user_id FROM e
 ) SELECT level, id, CAST(count(DISTINCT user_id) AS BIGINT) AS people, TRUE AS within_error FROM u GROUP BY 1, 2"""
+
+_SESSIONS = """e AS (
+  SELECT user_id, ts, event_type, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+), n AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM e), t1 AS (
+  SELECT user_id, session, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events, min(ts) FILTER (event_type = 'view') AS at1 FROM n GROUP BY 1, 2
+), t2 AS (
+  SELECT t1.*, (SELECT min(ts) FROM n WHERE n.user_id = t1.user_id AND n.session = t1.session AND event_type = 'click' AND ts >= at1) AS at2 FROM t1
+), t3 AS (
+  SELECT t2.*, (SELECT min(ts) FROM n WHERE n.user_id = t2.user_id AND n.session = t2.session AND event_type = 'signup' AND ts >= at2) AS at3 FROM t2
+), t4 AS (
+  SELECT t3.*, (SELECT min(ts) FROM n WHERE n.user_id = t3.user_id AND n.session = t3.session AND event_type = 'purchase' AND ts >= at3) AS at4 FROM t3
+), s AS (
+  SELECT user_id, session_start, session_end, CAST(events AS BIGINT) AS events,
+         CASE WHEN at1 IS NULL THEN 0 WHEN at2 IS NULL THEN 1 WHEN at3 IS NULL THEN 2 WHEN at4 IS NULL THEN 3 ELSE 4 END AS reached FROM t4
+)"""
+
+ORACLE |= {
+    "funnel_sessions": f"WITH {_SESSIONS} SELECT * REPLACE (epoch_us(session_start) AS session_start, epoch_us(session_end) AS session_end) FROM s",
+    "funnel_report": f"""WITH {_SESSIONS}, c AS (
+  SELECT CAST(session_start AS DATE) AS day, position, (['view', 'click', 'signup', 'purchase'])[position] AS step,
+         CAST(count(*) FILTER (reached >= position) AS BIGINT) AS sessions
+  FROM s, (SELECT CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS position) GROUP BY 1, 2
+)
+SELECT *, sessions / nullif(CAST(coalesce(lag(sessions) OVER w, sessions) AS DOUBLE), 0) AS from_previous,
+       sessions / nullif(CAST(first_value(sessions) OVER w AS DOUBLE), 0) AS from_first
+FROM c WINDOW w AS (PARTITION BY day ORDER BY position)""",
+}

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from adloom.bindings import tables as t
 from adloom.functions import calendar, clean, kpi, text
 from adloom.functions.aliases import canonicalise
-from adloom.operators import allocation, history, intervals, lifetimes, rollup, sketches
+from adloom.operators import allocation, funnels, history, intervals, lifetimes, rollup, sketches
 from adloom.operators.hierarchy import join_group_values
 from adloom.operators.latest import latest_version
 from adloom.plans import batch, dashboards, incremental, search, search_batch, social, star
@@ -946,6 +946,26 @@ def reach_by_sketch(spark, sf_dir):
     return exact.join(found, ["level", "id"]).select("level", "id", "people", near.alias("within_error"))
 
 
+FUNNEL, PAUSE = ["view", "click", "signup", "purchase"], 43_200
+
+
+def _sessions(spark, sf_dir) -> DataFrame:
+    return funnels.session_funnel(t.table(spark, sf_dir, "events"), "user_id", "ts", "event_type", FUNNEL, PAUSE)
+
+
+@query
+def funnel_sessions(spark, sf_dir):
+    """Every session of every user (times in microseconds), and how many steps it did in their order."""
+    return _sessions(spark, sf_dir).withColumns({c: F.unix_micros(c) for c in ("session_start", "session_end")})
+
+
+@query
+def funnel_report(spark, sf_dir):
+    """Sessions that reach each step in order, by the day they begin."""
+    by_day = _sessions(spark, sf_dir).withColumn("day", F.to_date("session_start"))
+    return funnels.funnel_report(by_day, FUNNEL, ["day"])
+
+
 # --- streaming -------------------------------------------------------------------------
 
 
