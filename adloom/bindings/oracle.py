@@ -707,3 +707,6 @@ SELECT *, sessions / nullif(CAST(coalesce(lag(sessions) OVER w, sessions) AS DOU
        sessions / nullif(CAST(first_value(sessions) OVER w AS DOUBLE), 0) AS from_first
 FROM c WINDOW w AS (PARTITION BY day ORDER BY position)""",
 }
+
+ORACLE["load_ledger"] = f"""WITH e AS ({EVENT_ROWS})
+SELECT *, CAST(1 + event_id % 2 AS INTEGER) AS run, CAST(count(*) OVER () AS BIGINT) AS in_ledger FROM e"""

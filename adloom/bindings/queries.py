@@ -17,7 +17,7 @@ from adloom.operators.latest import latest_version
 from adloom.plans import batch, dashboards, incremental, search, search_batch, social, star
 from adloom.plans.dates import dim_date
 from adloom.sinks import files, merge, warehouse
-from adloom.sources import lake, messages
+from adloom.sources import intake, lake, messages
 from adloom.streaming import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,13 +41,14 @@ def plain(df: DataFrame) -> DataFrame:
 EVENT_FIELDS = "event_id user_id report_type spend raw_data"
 
 
-def _typed_events(df: DataFrame) -> DataFrame:
+def _typed_events(df: DataFrame, *more: Column) -> DataFrame:
     return df.select(
         clean.to_int(F.col("event_id"), target="bigint").alias("event_id"),
         clean.to_int(F.col("user_id"), target="bigint").alias("user_id"),
         "report_type",
         clean.to_double(F.col("spend")).alias("spend"),
         "raw_data",
+        *more,
     )
 
 
@@ -73,6 +74,26 @@ def scan_json_lines(spark, sf_dir):
     return _typed_events(lake.read_landing(spark, root, "events", schema=_event_schema()))
 
 
+@query
+def load_ledger(spark, sf_dir):
+    """Records of a lake that grows between two intakes, one file of it taken a second time; each with the run that took it."""
+    base, schema = t.scratch(spark, "intake"), _event_schema()
+    records = t.event_records(spark, sf_dir)
+    even = F.col("event_id") % 2 == 0
+    files.write_landing(records.where(even), f"{base}/lake", "events", "landed_at")
+    intake.run_intake(spark, f"{base}/lake", "events", base, schema)
+    files.write_landing_arrays(records.where(~even), f"{base}/lake", "events", "landed_at")
+    intake.run_intake(spark, f"{base}/lake", "events", base, schema)
+    second = F.col("load") > "intake-000000000"
+    # The first file of the first run again: its records come from the replay alone.
+    path = intake.files_taken(spark, base).where(~second).agg(F.min("path")).first()[0]
+    intake.replay(spark, f"{base}/lake", "events", base, path, schema)
+    found = intake.read_bronze(spark, base, "events", schema, origin=True)
+    run = F.when(second & ~F.col("load").startswith("replay"), 2).otherwise(1)
+    counted = intake.files_taken(spark, base).agg(F.sum("records")).scalar()
+    return _typed_events(found, run.alias("run"), counted.alias("in_ledger"))
+
+
 @query
 def scan_missing_table(spark, sf_dir):
     absent = lake.read_landing(spark, t.scratch(spark, "lake"), "absent", schema=_event_schema())

@@ -57,24 +57,26 @@ def landed_at(path: Column) -> Column:
     return F.try_to_timestamp(F.concat_ws("-", *parts), F.lit("yyyy-MM-dd-HH-mm"))
 
 
-def _texts(reader, folder: str, files: str) -> DataFrame:
+def file_texts(reader, folder: str, files: str) -> DataFrame:
     """Files below a folder as (value, path), for a batch or a stream reader; minute folders are listed in parallel."""
     reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", files)
     return reader.text(folder, wholetext=True).select("value", F.col("_metadata.file_path").alias("__path"))
 
 
-def _parsed(texts: DataFrame, schema: T.StructType) -> DataFrame:
+def parsed_units(texts: DataFrame, schema: T.StructType, keep_empty: bool = False) -> DataFrame:
     """Adds ``__unit`` (a whole array file, or one line of a file of lines), ``__rows`` and ``__bad``.
 
     The layout is told by the file's first character, so it does not matter how it was written.
-    Bad is a unit that is no JSON, or holds something other than objects.
+    Bad is a unit that is no JSON, or holds something other than objects. A file without a
+    unit is left out, or has one row with a NULL unit that is not bad (``keep_empty``).
     """
     lines = F.filter(F.split("value", "\n"), lambda line: F.trim(F.regexp_replace(line, r"\s", " ")) != "")
     is_array = F.regexp_extract("value", r"^\s*(\[)", 1) == "["
     units = F.when(is_array, F.array("value")).otherwise(F.transform(lines, lambda line: F.concat(F.lit("["), line, F.lit("]"))))
-    rows = texts.select("__path", F.explode(units).alias("__unit"))
+    rows = texts.select("__path", (F.explode_outer if keep_empty else F.explode)(units).alias("__unit"))
     rows = rows.withColumn("__rows", F.from_json("__unit", T.ArrayType(schema)))
-    return rows.withColumn("__bad", F.col("__rows").isNull() | F.exists("__rows", lambda r: r.isNull()))
+    unread = F.col("__rows").isNull() | F.exists("__rows", lambda r: r.isNull())
+    return rows.withColumn("__bad", F.col("__unit").isNotNull() & unread)
 
 
 def _records(
@@ -88,7 +90,7 @@ def _records(
     day = F.to_date(landed_at(F.col("__path")))
     if (start is None) != (end is None):
         texts = texts.where(day >= F.lit(start) if end is None else day <= F.lit(end))
-    parsed = _parsed(texts, schema)
+    parsed = parsed_units(texts, schema)
     if skip_damaged:
         rows = F.filter(F.coalesce("__rows", F.array()), lambda r: r.isNotNull())
     else:
@@ -122,7 +124,7 @@ def read_landing(
     """
     declared = schema or landing_schema(table)
     try:
-        texts = _texts(spark.read, landing_folder(root, table, start, end), files)
+        texts = file_texts(spark.read, landing_folder(root, table, start, end), files)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -133,7 +135,7 @@ def read_landing(
 
 def damaged(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None, files: str = FILES) -> DataFrame:
     """(path, units): files of a landing table with the number of their arrays or lines that cannot be read."""
-    parsed = _parsed(_texts(spark.read, landing_folder(root, table), files), schema or landing_schema(table))
+    parsed = parsed_units(file_texts(spark.read, landing_folder(root, table), files), schema or landing_schema(table))
     return parsed.where("__bad").groupBy(F.col("__path").alias("path")).agg(F.count(F.lit(1)).alias("units"))
 
 
@@ -149,5 +151,5 @@ def stream_landing(
 ) -> DataFrame:
     """The landing table as a stream of new files: each file is read once, not on every run."""
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    texts = _texts(reader, landing_folder(root, table), files)
+    texts = file_texts(reader, landing_folder(root, table), files)
     return _records(texts, schema or landing_schema(table), None, None, skip_damaged, version)
