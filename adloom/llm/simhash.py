@@ -75,7 +75,7 @@ def _flip(place: Column) -> Column:
 
 
 def anchors(fps: DataFrame, replicate: bool) -> DataFrame:
-    """(block, anchor, fp). Anchors are the codewords of the perfect code of radius 1 on each block.
+    """(block, anchor, columns of fps). Anchors are the codewords of the perfect code of radius 1 on each block.
 
     Without ``replicate``: the one codeword within the radius. With it: all codewords within
     radius + 1 (1 of a codeword itself, else 16), so that any fingerprint differing in one bit
@@ -83,7 +83,7 @@ def anchors(fps: DataFrame, replicate: bool) -> DataFrame:
     """
     parts = []
     for number, shift in enumerate(BLOCKS):
-        rows = fps.select("fp", _block(F.col("fp"), shift).alias("w")).withColumn("s", _syndrome(F.col("w")))
+        rows = fps.select("*", _block(F.col("fp"), shift).alias("w")).withColumn("s", _syndrome(F.col("w")))
         nearest = F.col("w").bitwiseXOR(_flip(F.col("s")))
         if replicate:
             pairs = F.transform(
@@ -91,20 +91,50 @@ def anchors(fps: DataFrame, replicate: bool) -> DataFrame:
                 lambda i: F.col("w").bitwiseXOR(_flip(i)).bitwiseXOR(_flip(i.bitwiseXOR(F.col("s")))),
             )
             nearest = F.explode(F.concat(F.array(nearest), pairs))
-        parts.append(rows.select(F.lit(number).alias("block"), nearest.alias("anchor"), "fp"))
+        parts.append(rows.select(F.lit(number).alias("block"), nearest.alias("anchor"), *fps.columns))
     return parts[0].union(parts[1])
 
 
+def _close(fps: DataFrame) -> DataFrame:
+    """Pairs of fps' rows that meet at an anchor with at most 3 differing bits, the greater as ``other_…``; some twice."""
+    others = anchors(fps, replicate=True).withColumnsRenamed({c: f"other_{c}" for c in fps.columns})
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other_fp"))) <= THRESHOLD
+    met = anchors(fps, replicate=False).join(others, ["block", "anchor"])
+    return met.where((F.col("fp") < F.col("other_fp")) & near)
+
+
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): all pairs of different fingerprints with at most 3 differing bits, found per anchor."""
-    home = anchors(fps, replicate=False)
-    others = anchors(fps, replicate=True).withColumnRenamed("fp", "other")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= THRESHOLD
-    return (
-        home.join(others, ["block", "anchor"])
-        .where((F.col("fp") < F.col("other")) & near)
-        .select(F.col("fp").alias("a"), F.col("other").alias("b"))
-    )
+    return _close(fps).select(F.col("fp").alias("a"), F.col("other_fp").alias("b"))
+
+
+def least_links(fps: DataFrame) -> DataFrame:
+    """(a, b): for each fingerprint b that is close to a smaller one the least such a: fewer rows than fingerprints."""
+    return _close(fps).groupBy(F.col("other_fp").alias("b")).agg(F.min("fp").alias("a")).select("a", "b")
+
+
+def cluster_links(rooted: DataFrame) -> DataFrame:
+    """(a, b): distinct pairs of different roots that hold close fingerprints, from rows (fp, root)."""
+    apart = _close(rooted).where("root <> other_root")
+    return apart.select(F.least("root", "other_root").alias("a"), F.greatest("root", "other_root").alias("b")).distinct()
+
+
+def _with_roots(nodes: DataFrame, column: str, edges: DataFrame) -> DataFrame:
+    """``column`` replaced by the root of its component; values without an edge stay."""
+    roots = components(edges).select(F.col("node").alias(column), F.col("root").alias("_root"))
+    found = nodes.join(roots, column, "left")
+    return found.withColumn(column, F.coalesce("_root", column)).select(*nodes.columns)
+
+
+def linked(fps: DataFrame) -> DataFrame:
+    """(fp, root): the component of each distinct fingerprint, by its links to others of at most 3 differing bits.
+
+    Anchors are compared twice, and pairs never leave the task that finds them: first only
+    the least neighbour of each fingerprint does, then only links between the clusters this
+    makes, combined by cluster. N near copies with different fingerprints give N rows, not N².
+    """
+    first = cut(_with_roots(fps.select("fp", F.col("fp").alias("root")), "root", least_links(fps)))
+    return _with_roots(first, "root", cluster_links(first))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,8 +149,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = cut(fingerprints(docs, id_col, text_col))
     own = F.struct(key_column("doc_id").alias("key"), "doc_id", "tag")
     distinct = fps.groupBy("fp").agg(F.min(own).alias("first"))
-    roots = components(links(distinct.select("fp"))).select(F.col("node").alias("fp"), "root")
-    rooted = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = distinct.join(linked(distinct.select("fp")), "fp")
     least = rooted.groupBy("root").agg(F.min("first").alias("best"))
     labels = rooted.join(least, "root").select("fp", "best")
     kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("tag") == F.col("best.tag"))
