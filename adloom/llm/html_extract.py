@@ -6,6 +6,7 @@ import html
 import random
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -42,34 +43,68 @@ SAMPLE_PAGES, MADE_PAGES, LONGEST_TRAINED = 200, 700, 120
 LONGEST_SAMPLED = 100_000
 
 
+@dataclass(slots=True)
+class Element:
+    """An open element: its tag, its tokens, the element around it, and the hashed places of all tokens from the root on."""
+
+    tag: str
+    tokens: tuple[str, ...]
+    parent: Element | None
+    places: int = 0
+
+    def __post_init__(self) -> None:
+        self.places = self.parent.places if self.parent else 0
+        for token in self.tokens:
+            for place in _place(token):
+                self.places |= 1 << place
+
+
 @dataclass
 class Block:
-    """A run of text between block tags, its open elements as tokens, and how much of it is linked."""
+    """A run of text between block tags, its innermost open element, and how much of it is linked.
 
-    path: tuple[str, ...]
+    Blocks share the elements around them, so a page holds each once, however deep it nests.
+    """
+
+    element: Element | None
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """The tokens of all open elements, from the root on."""
+        tokens, at = [], self.element
+        while at:
+            tokens.append(at.tokens)
+            at = at.parent
+        return tuple(t for group in reversed(tokens) for t in group)
+
 
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a whole page, in order, with references decoded and white space joined."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Element] = []
+    counts: dict[str, int] = defaultdict(int)
     current: Block | None = None
-    at, links = 0, 0
+    at = 0
 
     def add(raw: str) -> None:
         nonlocal current
         if not raw.strip() and (current is None or not raw):
             return
         if current is None:
-            current = Block(tuple(t for _, tokens in stack for t in tokens))
+            current = Block(stack[-1] if stack else None)
             out.append(current)
         current.parts.append(raw)
-        if links:
+        if counts["a"]:
             current.linked += len(raw)
 
+    def leave(i: int) -> None:
+        for element in stack[i:]:
+            counts[element.tag] -= 1
+        del stack[i:]
+
     while at < len(page):
         m = MARKUP.search(page, at)
         if not m:
@@ -87,11 +122,8 @@ def blocks(page: str) -> list[Block]:
         elif tag == "br":
             add(" ")
         if close:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    links -= sum(t == "a" for t, _ in stack[i:])
-                    del stack[i:]
-                    break
+            if counts[tag]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
         if tag in RAW and not rest.endswith("/"):
             end = RAW_END[tag].search(page, at)
@@ -102,20 +134,19 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         for same, barrier in ((("p",), ()), (("li",), ("ul", "ol", "menu")), (("dt", "dd"), ("dl",)), (("td", "th"), ("tr", "table")), (("tr",), ("table",))):
-            if tag in same or (same == ("p",) and tag in ENDS_P):
+            if (tag in same or (same == ("p",) and tag in ENDS_P)) and any(counts[t] for t in same):
                 for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in barrier or (same == ("p",) and stack[i][0] in ("button", "td", "th", "table")):
+                    if stack[i].tag in barrier or (same == ("p",) and stack[i].tag in ("button", "td", "th", "table")):
                         break
-                    if stack[i][0] in same:
-                        links -= sum(t == "a" for t, _ in stack[i:])
-                        del stack[i:]
+                    if stack[i].tag in same:
+                        leave(i)
                         break
         names = [tag]
         if "=" in rest:
             for a, b, c in ATTRIBUTE.findall(rest):
                 names += ["." + n for n in NAME.findall((a or b or c).lower())]
-        stack.append((tag, tuple(names)))
-        links += tag == "a"
+        stack.append(Element(tag, tuple(names), stack[-1] if stack else None))
+        counts[tag] += 1
     for block in out:
         block.text = " ".join(html.unescape("".join(block.parts)).split())
     return [b for b in out if b.text]
@@ -150,11 +181,10 @@ def features(pages: list[list[Block]]) -> np.ndarray:
     row = 0
     for page in pages:
         for i, block in enumerate(page):
-            for depth, token in enumerate(block.path):
-                a, b = _place(token)
-                x[row, a] = x[row, b] = 1
-                if depth == len(block.path) - 1:
-                    x[row, _place("last:" + token)[0]] = 1
+            if block.element:
+                places = np.frombuffer(block.element.places.to_bytes(PATH_DIMS // 8, "little"), np.uint8)
+                x[row, :PATH_DIMS] = np.unpackbits(places, bitorder="little")
+                x[row, _place("last:" + block.element.tokens[-1])[0]] = 1
             text = block.text
             measures = (np.log1p(len(text)) / 5, np.log1p(words[row]) / 4, min(1, block.linked / max(1, len(text))), text[-1] in ".!?…:;\"'", i / len(page), (len(page) - i) / len(page), len(text) < 40, 1)
             x[row, PATH_DIMS + WORD_DIMS :] = measures
@@ -364,7 +394,8 @@ def made_page(draw: random.Random, words: list[str]) -> tuple[list[Block], list[
     found = blocks(page)
     labels = [int("x-other" not in b.path) for b in found]
     for b in found:
-        b.path = tuple(t for t in b.path if t != "x-other")
+        tokens = tuple(t for t in b.path if t != "x-other")
+        b.element = Element(tokens[0], tokens, None) if tokens else None
     return found, labels
 
 
