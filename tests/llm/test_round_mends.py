@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import random
+import time
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from adloom.llm import html_extract, quality, suffix_dedup
+from adloom.llm import html_extract, quality, secrets_scan, simhash, suffix_dedup
 from adloom.llm.common import utf8
 from tests.llm.test_text_operators import removed, suffix_rows
 
@@ -62,3 +66,79 @@ def test_equal_hashes_give_exact_names():
 )
 def test_only_code_and_form_content_is_no_text(page, text):
     assert [b.text for b in html_extract.blocks(page)] == text
+
+
+def test_many_near_copies_give_few_links(spark):
+    """5,000 fingerprints close to one another, and chains of three flips: links stay linear, components are those of all pairs."""
+    draw = random.Random(3)
+    flips = [1 << a | 1 << b for a in range(64) for b in range(a)] + [1 << a | 1 << b | 1 << c for a in range(40) for b in range(a) for c in range(b)]
+    centre = draw.getrandbits(64)
+    values = {centre ^ mask for mask in draw.sample(flips, 5000)}
+    for _ in range(30):
+        x = draw.getrandbits(64)
+        for _ in range(12):
+            values.add(x)
+            for bit in draw.sample(range(64), 3):
+                x ^= 1 << bit
+    prints = np.array(sorted(values), np.uint64)
+    parent = list(range(len(prints)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints[:i]) <= 3).tolist():
+            parent[find(i)] = find(j)
+    want = {}
+    for i, p in enumerate(prints.view(np.int64).tolist()):
+        want.setdefault(find(i), set()).add(p)
+    df = spark.createDataFrame([(p,) for p in prints.view(np.int64).tolist()], "fp long")
+    assert simhash.least_links(df).count() < len(prints)
+    found = simhash.linked(df)
+    assert found.select("fp").distinct().count() == found.count() == len(prints)
+    groups = {}
+    for fp, root in found.collect():
+        groups.setdefault(root, set()).add(fp)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+    assert all(root in group for root, group in groups.items())
+    first = simhash._with_roots(df.select("fp", F.col("fp").alias("root")), "root", simhash.least_links(df))
+    assert simhash.cluster_links(first).count() < len(prints)
+    assert simhash.linked(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["div", "span", "ul", "b"])
+def test_deep_pages_cost_their_size(tag):
+    """50,000 nested elements with a text each: no copy of the open elements per block, no scan of them per tag."""
+    depth = 50_000
+    page = "<a>" + "".join(f'<{tag} class="c d"><p>word {i}</em>' for i in range(depth))
+    tracemalloc.start()
+    started = time.monotonic()
+    found = html_extract.blocks(page)
+    taken, (_, peak) = time.monotonic() - started, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [b.text for b in found] == [f"word {i}" for i in range(depth)]
+    assert peak < 150 * 2**20 and taken < 60
+    last = found[-1].path
+    assert last[:4] == ("a", tag, ".c", ".d") and all(b.linked for b in found[:3])
+    x = html_extract.features([found])
+    want = {place for token in last for place in html_extract._place(token)} | {html_extract._place("last:" + last[-1])[0]}
+    assert set(np.flatnonzero(x[-1, : html_extract.PATH_DIMS])) == want
+
+
+def test_secret_candidates_beside_many_findings():
+    draw = random.Random(4)
+    key = lambda n: "".join(draw.choices("abcdefghij0123456789XYZ", k=n))
+    parts = [draw.choice([f"token={key(20)}", f"AKIA{'A1B2C3D4E5F6G7H8'}", "0123456789abcdef" * 2, key(24), f"api_key: {key(9)}/{key(30)}"]) for _ in range(20_000)]
+    text = " ".join(parts)
+    base = secrets_scan.base_findings(text)
+    started = time.monotonic()
+    found = secrets_scan.other_candidates(text, base)
+    assert time.monotonic() - started < 5
+    some = text[:20_000]
+    base = secrets_scan.base_findings(some)
+    spans = [m.span() for m in secrets_scan.CANDIDATE.finditer(some) if secrets_scan.DIGIT.search(some, *m.span())]
+    assert secrets_scan.other_candidates(some, base) == [(a, b) for a, b in spans if not any(s < b and a < e for s, _, e, _ in base)]
+    assert len(found) > 1000
