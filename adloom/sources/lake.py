@@ -48,13 +48,16 @@ def landing_folder(
 #: Files of a landing table; folders may be named ``2026`` or ``yyyy=2026``.
 FILES = "*.{json,txt}"
 _PART = r"/(?:[a-z]+=)?(\d{2})"
-LANDED = rf"/(?:[a-z]+=)?(\d{{4}}){_PART}{_PART}{_PART}{_PART}/[^/]+$"
+LANDED = rf"^(?:[a-z]+=)?(\d{{4}}){_PART}{_PART}{_PART}{_PART}/[^/]+$"
 
 
 def landed_at(path: Column) -> Column:
-    """Landing time of a file by its folders; NULL outside minute folders."""
-    parts = [F.regexp_extract(path, LANDED, i) for i in range(1, 6)]
-    return F.try_to_timestamp(F.concat_ws("-", *parts), F.lit("yyyy-MM-dd-HH-mm"))
+    """Landing time of a file by its folders; NULL outside minute folders.
+
+    The last six parts of the path are matched once; what does not match holds slashes and is no timestamp.
+    """
+    tail = F.substring_index(path, "/", -6)
+    return F.regexp_replace(tail, LANDED, "$1-$2-$3 $4:$5:00").try_cast("timestamp")
 
 
 def file_texts(reader, folder: str, files: str) -> DataFrame:
@@ -63,34 +66,71 @@ def file_texts(reader, folder: str, files: str) -> DataFrame:
     return reader.text(folder, wholetext=True).select("value", F.col("_metadata.file_path").alias("__path"))
 
 
-def parsed_units(texts: DataFrame, schema: T.StructType, keep_empty: bool = False) -> DataFrame:
-    """Adds ``__unit`` (a whole array file, or one line of a file of lines), ``__rows`` and ``__bad``.
+#: Larger files are not held whole unless they are arrays: files of lines are split over tasks.
+WHOLE_BYTES = 16 << 20
+#: Most array files above that size that are named in a filter; more are joined by path.
+MOST_PATHS = 10_000
 
-    The layout is told by the file's first character, so it does not matter how it was written.
-    Bad is a unit that is no JSON, or holds something other than objects. A file without a
-    unit is left out, or has one row with a NULL unit that is not bad (``keep_empty``).
-    """
+
+def _text_units(texts: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """(value, path) of whole files to (path, unit); the layout is told by each file's first character."""
     lines = F.filter(F.split("value", "\n"), lambda line: F.trim(F.regexp_replace(line, r"\s", " ")) != "")
     is_array = F.regexp_extract("value", r"^\s*(\[)", 1) == "["
     units = F.when(is_array, F.array("value")).otherwise(F.transform(lines, lambda line: F.concat(F.lit("["), line, F.lit("]"))))
-    rows = texts.select("__path", (F.explode_outer if keep_empty else F.explode)(units).alias("__unit"))
-    rows = rows.withColumn("__rows", F.from_json("__unit", T.ArrayType(schema)))
+    return texts.select("__path", (F.explode_outer if keep_empty else F.explode)(units).alias("__unit"))
+
+
+def _file_units(spark: SparkSession, folder: str, files: str, keep: Column | None = None) -> DataFrame:
+    """(path, unit) of the files below a folder, or of those whose ``__path`` is to be kept.
+
+    Files up to WHOLE_BYTES are read whole, many to a task. Larger ones take a pass over their lines
+    that tells arrays by the first character that is no white space; the others are read by the
+    splittable text reader, whatever their size, and only large arrays are one task's text.
+    Size and path prune the list of files, so no file is opened in vain.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", files)
+    meta = F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_size").alias("__size")
+    whole = reader.text(folder, wholetext=True).select("value", *meta)
+    lines = reader.text(folder, lineSep="\n").select("value", *meta, F.col("_metadata.file_block_start").alias("__at"))
+    if keep is not None:
+        whole, lines = whole.where(keep), lines.where(keep)
+    units = _text_units(whole.where(F.col("__size") <= WHOLE_BYTES))
+    lines = lines.where(F.col("__size") > WHOLE_BYTES).withColumn("__first", F.regexp_extract("value", r"^\s*(\S)", 1))
+    # Lines of a file's first block keep their order inside a task; the last bit of a place says whether an array starts there.
+    place = F.monotonically_increasing_id() * 2 + (F.col("__first") == "[").cast("long")
+    starts = lines.where("__at = 0 AND __first <> ''").select("__path", place.alias("place"))
+    arrays = starts.groupBy("__path").agg(F.min("place").alias("place")).where("place % 2 = 1").select("__path")
+    if lines.rdd.getNumPartitions() == 0:
+        return units
+    named = [row[0] for row in arrays.limit(MOST_PATHS + 1).collect()]
+    if len(named) <= MOST_PATHS:
+        by_line = lines.where(~F.col("__path").isin(named)) if named else lines
+        by_file = whole.where(F.col("__path").isin(named)) if named else None
+    else:
+        by_line, by_file = lines.join(arrays, "__path", "left_anti"), whole.join(arrays, "__path", "left_semi")
+    split = by_line.where("__first <> ''").select("__path", F.concat(F.lit("["), "value", F.lit("]")).alias("__unit"))
+    units = units.unionByName(split)
+    return units if by_file is None else units.unionByName(_text_units(by_file))
+
+
+def parsed_units(texts: DataFrame, schema: T.StructType, keep_empty: bool = False) -> DataFrame:
+    """Whole files as (path, ``__unit``, ``__rows``, ``__bad``): a unit is an array file, or one line of a file of lines.
+
+    The layout is told by the file's first character, so it does not matter how it was written.
+    A file without a unit is left out, or has one row with a NULL unit that is not bad (``keep_empty``).
+    """
+    return _parsed(_text_units(texts, keep_empty), schema)
+
+
+def _parsed(units: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds ``__rows`` and ``__bad``: a unit that is no JSON, or holds something other than objects, is bad."""
+    rows = units.withColumn("__rows", F.from_json("__unit", T.ArrayType(schema)))
     unread = F.col("__rows").isNull() | F.exists("__rows", lambda r: r.isNull())
     return rows.withColumn("__bad", F.col("__unit").isNotNull() & unread)
 
 
-def _records(
-    texts: DataFrame,
-    schema: T.StructType,
-    start: datetime.date | None,
-    end: datetime.date | None,
-    skip_damaged: bool,
-    version: str | None,
-) -> DataFrame:
-    day = F.to_date(landed_at(F.col("__path")))
-    if (start is None) != (end is None):
-        texts = texts.where(day >= F.lit(start) if end is None else day <= F.lit(end))
-    parsed = parsed_units(texts, schema)
+def _records(units: DataFrame, schema: T.StructType, skip_damaged: bool, version: str | None) -> DataFrame:
+    parsed = _parsed(units, schema)
     if skip_damaged:
         rows = F.filter(F.coalesce("__rows", F.array()), lambda r: r.isNotNull())
     else:
@@ -116,26 +156,30 @@ def read_landing(
     """All records of a landing table; a table that does not exist reads as empty.
 
     Files hold a JSON array or one object per line; both may lie side by side. The schema is
-    declared, so there is no inference pass, and an absent column is NULL. A file is one task's
-    text (2 GB at most; the landing sinks write far smaller ones). The first damaged file, or
-    line of a file of lines, fails the read, unless ``skip_damaged``; ``damaged`` lists them.
+    declared, so there is no inference pass, and an absent column is NULL. A file of lines may have
+    any size and is split over tasks; an array is one task's text (2 GB at most). The first damaged file,
+    or line of a file of lines, fails the read, unless ``skip_damaged``; ``damaged`` lists them.
     Either day bound may be left open; with both, only the folders between them are listed.
     ``version`` names a column to add with the landing time.
     """
     declared = schema or landing_schema(table)
+    day = F.to_date(landed_at(F.col("__path")))
+    keep = None
+    if (start is None) != (end is None):
+        keep = day >= F.lit(start) if end is None else day <= F.lit(end)
     try:
-        texts = file_texts(spark.read, landing_folder(root, table, start, end), files)
+        units = _file_units(spark, landing_folder(root, table, start, end), files, keep)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         empty = T.StructType([*declared.fields, *([T.StructField(version, T.TimestampType())] if version else [])])
         return spark.createDataFrame([], empty)
-    return _records(texts, declared, start, end, skip_damaged, version)
+    return _records(units, declared, skip_damaged, version)
 
 
 def damaged(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None, files: str = FILES) -> DataFrame:
     """(path, units): files of a landing table with the number of their arrays or lines that cannot be read."""
-    parsed = parsed_units(file_texts(spark.read, landing_folder(root, table), files), schema or landing_schema(table))
+    parsed = _parsed(_file_units(spark, landing_folder(root, table), files), schema or landing_schema(table))
     return parsed.where("__bad").groupBy(F.col("__path").alias("path")).agg(F.count(F.lit(1)).alias("units"))
 
 
@@ -152,4 +196,4 @@ def stream_landing(
     """The landing table as a stream of new files: each file is read once, not on every run."""
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
     texts = file_texts(reader, landing_folder(root, table), files)
-    return _records(texts, schema or landing_schema(table), None, None, skip_damaged, version)
+    return _records(_text_units(texts), schema or landing_schema(table), skip_damaged, version)

@@ -191,6 +191,39 @@ def test_both_landing_sinks_read_back_by_default(spark):
     assert rows(spark.read.schema(schema).parquet(out)) == rows(df.drop("ts"))
 
 
+@pytest.mark.parametrize("most_paths", [0, 10_000])
+def test_large_files_of_lines_are_split_over_tasks(spark, tmp_path, monkeypatch, most_paths):
+    """Layouts are told by content: lines with a broken one that looks like an array, arrays over many lines, blanks first."""
+    folder = tmp_path / "t" / "2026" / "01" / "02" / "03" / "04"
+    folder.mkdir(parents=True)
+    record = lambda i: json.dumps({"k": str(i), "name": "x" * 50})
+    folder.joinpath("lines.json").write_text("\n \n" + "".join(record(i) + "\r\n" for i in range(2000)) + "[1,\n")
+    folder.joinpath("array.json").write_text("\n\t[" + ",\n".join(record(i) for i in range(2000, 4000)) + "\n]")
+    folder.joinpath("few.txt").write_text(record(4000) + "\n" + record(4001))
+    folder.joinpath("none.json").write_text("")
+    schema = spark.createDataFrame([], "k string, name string").schema
+    read = lambda: lake.read_landing(spark, str(tmp_path), "t", schema=schema, skip_damaged=True, version="landed")
+    before = rows(read())
+    monkeypatch.setattr(lake, "WHOLE_BYTES", 1000)
+    monkeypatch.setattr(lake, "MOST_PATHS", most_paths)
+    sizes = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        after = read()
+        assert rows(after) == before and len(before) == 4002
+        assert {int(r.k) for r in after.select("k").collect()} == set(range(4002))
+        lines = after.where("k < 2000 AND k >= 0").groupBy(F.spark_partition_id()).count()
+        assert lines.count() >= 7
+        damaged = lake.damaged(spark, str(tmp_path), "t", schema=schema).collect()
+        assert [(r.path.rsplit("/", 1)[1], r.units) for r in damaged] == [("lines.json", 1)]
+        bounded = lake.read_landing(spark, str(tmp_path), "t", start=D(2026, 1, 3), schema=schema)
+        assert bounded.isEmpty()
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+
+
 def test_stream_of_landing_files(spark, landed):
     stream = lake.stream_landing(spark, landed, "fad_ad_daily_report")
     out, checkpoint = work_dir(spark, "out"), work_dir(spark, "checkpoint")
