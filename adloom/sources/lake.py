@@ -129,7 +129,9 @@ def _parsed(units: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.withColumn("__bad", F.col("__unit").isNotNull() & unread)
 
 
-def _records(units: DataFrame, schema: T.StructType, skip_damaged: bool, version: str | None) -> DataFrame:
+def _records(
+    units: DataFrame, schema: T.StructType, skip_damaged: bool, version: str | None, origin: str | None = None
+) -> DataFrame:
     parsed = _parsed(units, schema)
     if skip_damaged:
         rows = F.filter(F.coalesce("__rows", F.array()), lambda r: r.isNotNull())
@@ -137,9 +139,9 @@ def _records(units: DataFrame, schema: T.StructType, skip_damaged: bool, version
         message = F.concat(F.lit("damaged landing file "), "__path", F.lit(": "), F.substring("__unit", 1, 200))
         rows = F.when(F.col("__bad"), F.raise_error(message).cast(T.ArrayType(schema))).otherwise(F.col("__rows"))
     own = [landed_at(F.col("__path")).alias(version)] if version else []
-    return parsed.select(*own, rows.alias("__rows")).select(*([version] if version else []), F.inline("__rows")).select(
-        *schema.names, *([version] if version else [])
-    )
+    own += [F.col("__path").alias(origin)] if origin else []
+    names = [name for name in (version, origin) if name]
+    return parsed.select(*own, rows.alias("__rows")).select(*names, F.inline("__rows")).select(*schema.names, *names)
 
 
 def read_landing(
@@ -152,6 +154,7 @@ def read_landing(
     files: str = FILES,
     skip_damaged: bool = False,
     version: str | None = None,
+    origin: str | None = None,
 ) -> DataFrame:
     """All records of a landing table; a table that does not exist reads as empty.
 
@@ -160,7 +163,7 @@ def read_landing(
     any size and is split over tasks; an array is one task's text (2 GB at most). The first damaged file,
     or line of a file of lines, fails the read, unless ``skip_damaged``; ``damaged`` lists them.
     Either day bound may be left open; with both, only the folders between them are listed.
-    ``version`` names a column to add with the landing time.
+    ``version`` names a column to add with the landing time, ``origin`` one with the file's path.
     """
     declared = schema or landing_schema(table)
     day = F.to_date(landed_at(F.col("__path")))
@@ -172,9 +175,10 @@ def read_landing(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        empty = T.StructType([*declared.fields, *([T.StructField(version, T.TimestampType())] if version else [])])
-        return spark.createDataFrame([], empty)
-    return _records(units, declared, skip_damaged, version)
+        own = [T.StructField(version, T.TimestampType())] if version else []
+        own += [T.StructField(origin, T.StringType())] if origin else []
+        return spark.createDataFrame([], T.StructType([*declared.fields, *own]))
+    return _records(units, declared, skip_damaged, version, origin)
 
 
 def damaged(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None, files: str = FILES) -> DataFrame:

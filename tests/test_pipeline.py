@@ -6,6 +6,7 @@ import datetime
 import glob
 import json
 import os
+import re
 from decimal import Decimal
 
 import pytest
@@ -172,6 +173,18 @@ def test_one_sided_day_bounds(spark, landed):
     assert days(start=D(2030, 1, 1)) == set() and len(days()) == 2
 
 
+@pytest.mark.parametrize("whole_bytes", [1 << 20, 10])
+def test_landed_records_carry_their_file(spark, monkeypatch, whole_bytes):
+    """Also where large files are split, which reads them as a union."""
+    monkeypatch.setattr(lake, "WHOLE_BYTES", whole_bytes)
+    root = work_dir(spark, "lake")
+    df = spark.range(4).select("id", F.expr("timestamp'2026-01-02 03:04:05' + make_interval(0, 0, 0, int(id % 2))").alias("ts"))
+    files.write_landing(df, root, "t", "ts")
+    read = lambda table: lake.read_landing(spark, root, table, schema=df.drop("ts").schema, origin="path")
+    assert {(r.id, re.search("dd=.*?/", r.path)[0]) for r in read("t").collect()} == {(i, f"dd=0{2 + i % 2}/") for i in range(4)}
+    assert read("absent").columns == ["id", "path"]
+
+
 def test_both_landing_sinks_read_back_by_default(spark):
     root = work_dir(spark, "lake")
     df = spark.range(25).select(
