@@ -185,6 +185,23 @@ def test_landed_records_carry_their_file(spark, monkeypatch, whole_bytes):
     assert read("absent").columns == ["id", "path"]
 
 
+def test_landed_lines_are_packed_and_bounded(spark, monkeypatch):
+    """Files are gzipped and of few records each, read whole or by line, and every line is parsed once."""
+    monkeypatch.setattr(files, "LANDING_ROWS", 300)
+    root = work_dir(spark, "lake")
+    df = spark.range(1000).select("id", F.lit("a name " * 20).alias("name"), F.lit("2026-01-02 03:04:05").cast("timestamp").alias("ts"))
+    files.write_landing(df.coalesce(1), root, "t", "ts")
+    found = glob.glob(f"{root}/t/yyyy=2026/mm=01/dd=02/hh=03/mi=04/*.json*")
+    assert len(found) >= 4 and all(name.endswith(".json.gz") for name in found)
+    assert sum(map(os.path.getsize, found)) < 30 * 1000
+    read = lambda: lake.read_landing(spark, root, "t", schema=df.drop("ts").schema, version="landed")
+    assert rows(read().drop("landed")) == rows(df.drop("ts"))
+    monkeypatch.setattr(lake, "WHOLE_BYTES", 10)
+    assert rows(read().drop("landed")) == rows(df.drop("ts"))
+    assert not [line for line in plan(read()).splitlines() if "Filter" in line and "from_json" in line]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def test_both_landing_sinks_read_back_by_default(spark):
     root = work_dir(spark, "lake")
     df = spark.range(25).select(
