@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from adloom.operators import rollup
 from adloom.plans import search
 from adloom.schemas import LANDING
+from adloom.session import shuffles_dropped
 from adloom.sources.lake import read_landing
 
 #: Entity of a search report: a landing states an entity's day anew, with all its rows.
@@ -60,20 +61,31 @@ def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def level_reports(spark: SparkSession, root: str) -> DataFrame:
-    """Daily reports of ad groups, campaigns and accounts from the staged asset rows, under their newest names."""
+    """Daily reports of ad groups, campaigns and accounts from the staged asset rows, under their newest names.
+
+    The rows are merged to their newest landing once, and summed to an ad group's days under each of its names; those
+    sums are written, as the reports and the names of all levels are taken from them.
+    """
     assets = read_staged(spark, root, "gad_ad_asset_daily_report")
+    metrics = list(rollup.SEARCH_METRICS)
+    keys = ["date_start", *search.LEVELS.values(), *[key.replace("_id", "_name") for key in search.LEVELS.values()]]
+    path = f"{root.rstrip('/')}/asset_days"
+    days = assets.groupBy(*keys).agg(*rollup.sums(metrics))
+    days.write.mode("overwrite").parquet(path)
+    assets = spark.read.schema(days.schema).parquet(path)
     names = {}
     for level, key in search.LEVELS.items():
         name = key.replace("_id", "_name")
         newest = F.max_by(name, F.struct("date_start", name))
         names[level] = assets.filter(F.col(key).isNotNull()).groupBy(key).agg(newest)
-    return search.level_reports(assets.select("date_start", *search.LEVELS.values(), *rollup.SEARCH_METRICS), names)
+    return search.reports_of(assets, names)
 
 
 def run_search_batch(spark: SparkSession, lake: str, root: str, load_id: str, start=None, end=None) -> DataFrame:
     """Stage the landed search reports of a day range and write the level reports of all staged rows anew; returns them."""
-    stage_reports(spark, lake, root, load_id, start, end)
     target = f"{root.rstrip('/')}/level_reports"
-    reports = level_reports(spark, root).withColumn("ym", F.date_format("date_start", "yyyyMM"))
-    reports.hint("rebalance", F.col("ym")).write.mode("overwrite").partitionBy("level", "ym").parquet(target)
+    with shuffles_dropped(spark):
+        stage_reports(spark, lake, root, load_id, start, end)
+        reports = level_reports(spark, root).withColumn("ym", F.date_format("date_start", "yyyyMM"))
+        reports.hint("rebalance", F.col("ym")).write.mode("overwrite").partitionBy("level", "ym").parquet(target)
     return spark.read.schema(reports.schema).parquet(target).drop("ym")

@@ -454,6 +454,22 @@ def test_search_batch_takes_the_newest_landing_of_an_ads_day(spark):
     assert search_batch.read_staged(spark, work_dir(spark, "none"), "gad_age_report").isEmpty()
 
 
+def test_search_levels_take_the_newest_landing_once(spark):
+    """Newest landings are told once, not again for the names of each level; a day under two names counts both."""
+    lake_root, target = work_dir(spark, "lake"), work_dir(spark, "search")
+    rest = ("2026-01-01", "1.25", "10", "1", "0.5", "2026-01-02 02:00:00")
+    ads = [("x", "g1", "Old", "c1", "C", "a1", "A", *rest), ("y", "g1", "Renamed", "c1", "C", "a1", "A", *rest), ("z", "g1", None, None, "C", "a1", "A", *rest)]
+    files.write_landing(landed_assets(spark, *ads), lake_root, "gad_ad_asset_daily_report", "landed_at")
+    got = search_batch.run_search_batch(spark, lake_root, target, "load-1")
+    assert rows(got.select("level", "id", "name", "cost", "impressions")) == [
+        ("account", "a1", "A", Decimal("3.75"), 30),
+        ("ad_group", "g1", "Renamed", Decimal("3.75"), 30),
+        ("campaign", "c1", "C", Decimal("2.50"), 20),
+    ]
+    assert "Window" in plan(search_batch.read_staged(spark, target, "gad_ad_asset_daily_report"))
+    assert "Window" not in plan(search_batch.level_reports(spark, target))
+
+
 def test_day_range_prunes_months(spark):
     root = work_dir(spark, "warehouse")
     days = [{**AD_1, "date_start": d} for d in ("2025-11-30", "2025-12-31", "2026-01-01")]
