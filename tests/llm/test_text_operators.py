@@ -453,3 +453,19 @@ def test_higher_order_fold_equals_the_library(spark, judge):
     # The library splits by its pattern first; one that takes any text whole leaves the merges alone.
     whole = tiktoken.Encoding("whole", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
     assert found == {w: whole.encode_ordinary(w) for w in words} | {"": [], None: []}
+
+
+def test_secret_network_learns_from_all_documents(spark, monkeypatch):
+    """Every different candidate takes part, however many documents there are; parts meet in one network, reruns agree."""
+    body = F.concat(F.lit("the key "), F.substring(F.upper(F.sha2(F.col("id").cast("string"), 256)), 1, 40), F.lit(" of the build"))
+    rule = F.concat(F.lit("password = "), F.substring(F.upper(F.sha2(F.col("id").cast("string"), 256)), 1, 30))
+    docs = spark.range(4500).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, body).otherwise(rule).alias("text"))
+    counted = {r.label: r["count"] for r in secrets_scan.labelled(docs).groupBy("label").count().collect()}
+    assert counted[0] + counted[1] >= 4490 and min(counted.values()) >= 2240
+    monkeypatch.setattr(secrets_scan, "PART", 1500)
+    monkeypatch.setattr(secrets_scan, "ROUNDS", 2)
+    first, second = (secrets_scan.train(docs.repartition(n)) for n in (2, 5))
+    assert all((first.weights[k] == second.weights[k]).all() for k in first.weights) and first.threshold == second.threshold
+    windows = [("password = QK9X2MFWB70TTZ3EJ5", 11, 29), ("the key 0A9F33B27CD01E5A9F33B27 of the build", 8, 31)]
+    good, harmless = first.scores(windows)
+    assert good > harmless
