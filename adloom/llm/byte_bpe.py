@@ -1,8 +1,9 @@
 """Byte-level BPE: ranked merges folded over the bytes of distinct words; decoding joins binary pieces.
 
-``fold_words`` folds a table of distinct words by Spark's higher-order functions with a literal rank map. In
-``encode`` a worker folds each distinct word when it first meets it, by the same merges; on request the corpus's
-frequent words are folded ahead by ``fold_words`` and reach the workers as a table of bounded size.
+``fold_words`` folds a table of distinct words by Spark's higher-order functions with a literal rank map.
+``encode_by_words`` folds every distinct word of the corpus once by it and brings the ids back to the documents, by
+groups of bounded size. In ``encode`` a worker folds each distinct word when it first meets it, by the same merges; on
+request the corpus's frequent words are folded ahead by ``fold_words`` and reach the workers as a table of bounded size.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import base64
 import heapq
 import json
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -31,7 +32,15 @@ WORDS_AT_ONCE = 1 << 20
 FREQUENT = 1 << 13
 COUNTED_DOCS = 2000
 #: The literal rank map is cut into this many small maps by the token's CRC, as Spark looks maps up from end to end.
-RANK_MAPS = 1 << 16
+RANK_MAPS = 1 << 14
+#: A pair of parts is its rank times this and its place, so that the least is the leftmost of the lowest rank.
+SPAN = 1 << 31
+#: Words above so many times the longest token's bytes are folded window by window.
+WINDOW_TOKENS = 4
+#: Text bytes of a group of documents, about; a task holds the distinct words of one group and their ids.
+GROUP_BYTES = 32 << 20
+#: Distinct (group, word) pairs that a worker gathers before it sends them on; bounds its memory, not its result.
+GATHERED = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,48 +49,104 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in lines}
 
 
-def fold_words(words: DataFrame, ranks: dict[bytes, int], word_col: str = "word") -> DataFrame:
-    """(word, ids) for a table of distinct words: ranked merges folded over arrays of bytes by higher-order functions.
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, as a lambda's variable."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    Every round merges the lowest-ranked, leftmost pair; a word of n bytes needs n - 1 rounds at most. Null and empty words have no ids.
-    """
+
+def _ids(data: Column, ranks: dict[bytes, int]) -> Column:
+    """Ids of one word's bytes; a null or empty word has none."""
     maps: list[dict[str, int]] = [{} for _ in range(RANK_MAPS)]
     for token, rank in ranks.items():
         maps[zlib.crc32(token) % RANK_MAPS][token.hex().upper()] = rank
     # Of literals only, so Spark computes it once and plans with the result; JSON cannot hold bytes, hence hex keys.
     literal = F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
-    none = F.lit(1 << 30)
-
-    def rank(token: Column) -> Column:
-        return F.try_element_at(F.element_at(literal, (F.crc32(token) % RANK_MAPS + 1).cast("int")), F.hex(token))
-
-    def merge(parts: Column, _: Column) -> Column:
-        def pair(i: Column) -> Column:
-            known = F.when(i < F.size(parts), rank(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))))
-            return F.struct(F.coalesce(known, none).alias("rank"), i.alias("at"))
-
-        least = F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), pair))
-        return F.element_at(
-            F.transform(
-                F.array(least),
-                lambda best: F.when(best["rank"] == none, parts).otherwise(
-                    F.concat(
-                        F.slice(parts, F.lit(1), best["at"] - 1),
-                        F.array(F.concat(F.element_at(parts, best["at"]), F.element_at(parts, best["at"] + 1))),
-                        F.slice(parts, best["at"] + 2, F.size(parts)),
-                    )
-                ),
-            ),
-            1,
+    none = F.lit(1 << 30).cast("long")
+    window = WINDOW_TOKENS * max(map(len, ranks), default=1)
+
+    def ids(maps: Column) -> Column:
+        def rank(token: Column) -> Column:
+            return F.try_element_at(F.element_at(maps, (F.crc32(token) % RANK_MAPS + 1).cast("int")), F.hex(token))
+
+        def pair(joined: Column) -> Column:
+            return F.coalesce(rank(joined).cast("long"), none) * SPAN
+
+        def merge(state: Column, _: Column) -> Column:
+            """The lowest-ranked, leftmost pair becomes one part; only the pairs beside it are looked up anew."""
+            parts, pairs = state["parts"], state["pairs"]
+
+            def joined(least: Column) -> Column:
+                at = least.bitwiseAND(F.lit(SPAN - 1)).cast("int")
+                part = F.concat(F.get(parts, at), F.get(parts, at + 1))
+                before = F.when(at > 0, F.array(pair(F.concat(F.get(parts, at - 1), part)))).otherwise(F.array().cast("array<bigint>"))
+                after = F.array(pair(F.concat(part, F.get(parts, at + 2))))
+                return F.struct(
+                    F.concat(F.slice(parts, F.lit(1), at), F.array(part), F.slice(parts, at + 3, F.size(parts))).alias("parts"),
+                    F.concat(F.slice(pairs, F.lit(1), F.greatest(at - 1, F.lit(0))), before, after, F.slice(pairs, at + 3, F.size(parts))).alias("pairs"),
+                )
+
+            least = F.array_min(F.transform(pairs, lambda x, i: x + i))
+            return F.when(F.array_min(pairs) >= none * SPAN, state).otherwise(_bind(least, joined))
+
+        def fold(part: Column) -> Column:
+            """Parts of some bytes after all merges, two bytes or more being given; the last part's pair has no rank."""
+            size = F.octet_length(part)
+            start = F.struct(
+                F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(part, i, F.lit(1))).alias("parts"),
+                F.transform(
+                    F.sequence(F.lit(1), size),
+                    lambda i: F.when(i < size, pair(F.substring(part, i, F.lit(2)))).otherwise(none * SPAN),
+                ).alias("pairs"),
+            )
+            return F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), start, merge, lambda state: state["parts"])
+
+        def slide(state: Column, _: Column) -> Column:
+            """The first half of the parts of the next window; the next one starts where they end."""
+
+            def taken(parts: Column) -> Column:
+                last = state["at"] + window >= F.octet_length(data)
+                n = F.when(last, F.size(parts)).otherwise(F.greatest((F.size(parts) / 2).cast("int"), F.lit(1)))
+                first = F.slice(parts, F.lit(1), n)
+                return F.struct(
+                    F.aggregate(first, state["at"], lambda total, x: total + F.octet_length(x)).alias("at"),
+                    F.get(parts, n).alias("next"),
+                    (state["sure"] & F.coalesce(state["next"] == F.get(parts, F.lit(0)), F.lit(True))).alias("sure"),
+                    F.concat(state["ids"], F.transform(first, rank)).alias("ids"),
+                )
+
+            rest = _bind(F.substring(data, state["at"] + 1, F.lit(window)), fold)
+            return F.when(state["at"] >= F.octet_length(data), state).otherwise(_bind(rest, taken))
+
+        def long(slid: Column) -> Column:
+            # Merges are right if they are for every two neighbours, and two windows that share the part after a cut vouch
+            # for the neighbours there. Windows that ever differed would send the word through one fold.
+            return F.when(slid["sure"], slid["ids"]).otherwise(F.transform(fold(data), rank))
+
+        begin = F.struct(
+            F.lit(0).alias("at"), F.lit(None).cast("binary").alias("next"), F.lit(True).alias("sure"), F.array().cast("array<int>").alias("ids")
         )
+        slid = F.aggregate(F.sequence(F.lit(1), F.greatest(F.octet_length(data), F.lit(1))), begin, slide)
+        whole = rank(data)
+        return (
+            F.when(F.coalesce(F.octet_length(data), F.lit(0)) == 0, F.array().cast("array<int>"))
+            .when(whole.isNotNull(), F.array(whole))
+            .when(F.octet_length(data) <= window, F.transform(fold(data), rank))
+            .otherwise(_bind(slid, long))
+        )
+
+    return _bind(literal, ids)
 
-    data = F.encode(F.col(word_col), "utf-8")
-    size = F.coalesce(F.octet_length(data), F.lit(0))
-    single = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.substring(data, i, F.lit(1)))
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), single, merge)
-    whole = rank(data)
-    ids = F.when(size == 0, F.array().cast("array<int>")).when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, rank))
-    return words.select(F.col(word_col).alias("word"), ids.alias("ids"))
+
+def fold_words(words: DataFrame, ranks: dict[bytes, int], word_col: str = "word") -> DataFrame:
+    """(word, ids, and the other columns) for a table of distinct words: ranked merges folded over arrays of bytes by
+    higher-order functions.
+
+    Every round merges the lowest-ranked, leftmost pair; a word of n bytes needs n - 1 rounds at most. Words far above the
+    longest token are folded in windows, so their time grows with their length. Null and empty words have no ids.
+    """
+    coded = words.withColumn("_data", F.encode(F.col(word_col), "utf-8"))
+    rest = [c for c in words.columns if c != word_col]
+    return coded.select(F.col(word_col).alias("word"), _ids(F.col("_data"), ranks).alias("ids"), *rest)
 
 
 def frequent_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str) -> dict[str, bytes]:
@@ -228,6 +293,109 @@ def encode(
     return rows.mapInArrow(_worker(shared, decode), f"doc_id {id_type}, ids binary" + ", decoded binary" * decode)
 
 
+def _matches(text: str | None, pattern: regex.Pattern) -> Iterable[str]:
+    """All matches in a text; those of a long one are not held at once."""
+    if text is None or len(text) < WORDS_AT_ONCE:
+        return pattern.findall(text or "")
+    return (m.group() for m in pattern.finditer(text))
+
+
+def _distinct_words(pattern: str) -> Callable:
+    """(part, text) to distinct words and the parts they occur in; a word may come again with other parts, or the same."""
+
+    def sent(seen: dict[int, set[str]]) -> Iterator[pa.RecordBatch]:
+        parts_of: dict[str, list[int]] = {}
+        for part, words in seen.items():
+            for word in words:
+                parts_of.setdefault(word, []).append(part)
+        words, parts = list(parts_of), list(parts_of.values())
+        for at in range(0, len(words), 1 << 14):
+            columns = [pa.array(words[at : at + (1 << 14)], pa.string()), pa.array(parts[at : at + (1 << 14)], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "parts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled = regex.compile(pattern)
+        seen: dict[int, set[str]] = {}
+        held = 0
+        for batch in batches:
+            for part, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = seen.setdefault(part, set())
+                before = len(words)
+                words.update(_matches(text.as_py(), compiled))
+                held += len(words) - before
+                if held >= GATHERED:
+                    yield from sent(seen)
+                    seen, held = {}, 0
+        yield from sent(seen)
+
+    return run
+
+
+def _token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
+    """Token bytes by id."""
+    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, i in ranks.items():
+        pieces[i] = token
+    return pieces
+
+
+def _put_together(shared, pattern: str, decode: bool) -> Callable:
+    """(part, word, ids, doc_id, text), of every part the words first, to the ids of the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled, pieces = regex.compile(pattern), shared.value
+        known: dict[str, bytes] = {}
+        current = None
+        for batch in batches:
+            kinds = np.column_stack([batch.column(0).to_numpy(), batch.column(1).is_valid().to_numpy(zero_copy_only=False)])
+            cuts = np.flatnonzero((kinds[1:] != kinds[:-1]).any(axis=1)) + 1
+            for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if start == stop:
+                    continue
+                rows, (part, words) = batch.slice(start, stop - start), kinds[start].tolist()
+                if part != current:
+                    known, current = {}, part
+                if words:
+                    data = rows.column(2).flatten().to_numpy().astype("<u4").tobytes()
+                    ends = (np.cumsum(rows.column(2).value_lengths().to_numpy()) * 4).tolist()
+                    known.update(zip(rows.column(1).to_pylist(), (data[a:b] for a, b in zip([0, *ends], ends))))
+                    continue
+                for at in range(0, rows.num_rows, 256):
+                    some = rows.slice(at, 256)
+                    ids = [b"".join(map(known.__getitem__, _matches(x.as_py(), compiled))) for x in some.column(4)]
+                    out = [some.column(3), pa.array(ids, pa.binary())]
+                    if decode:
+                        out.append(pa.array([decode_ids(x, pieces) for x in ids], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(out, ["doc_id", "ids", "decoded"][: len(out)])
+
+    return run
+
+
+def encode_by_words(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False
+) -> DataFrame:
+    """The rows of ``encode``, all merges being folded by higher-order functions over distinct words.
+
+    Documents are dealt by a hash into groups of about GROUP_BYTES; every
+    distinct word of the corpus is folded once by ``fold_words`` and its ids go to the groups that hold it, so that
+    a task's memory is that of one group's distinct words. ``docs`` is read three times (size, words, texts).
+    """
+    ranks = read_ranks(ranks_path)
+    context = docs.sparkSession.sparkContext
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    groups = max(-(-size // GROUP_BYTES), context.defaultParallelism)
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int").alias("part"), "doc_id", "text")
+    words = rows.select("part", "text").mapInArrow(_distinct_words(pattern), "word string, parts array<int>")
+    words = words.groupBy("word").agg(F.array_distinct(F.flatten(F.collect_list("parts"))).alias("parts"))
+    coded = fold_words(words, ranks).select(F.explode("parts").alias("part"), "word", "ids")
+    both = coded.unionByName(rows, allowMissingColumns=True).select("part", "word", "ids", "doc_id", "text")
+    both = both.repartitionById(groups, "part").sortWithinPartitions("part", F.col("word").isNull())
+    shared = context.broadcast(_token_bytes(ranks) if decode else [])
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return both.mapInArrow(_put_together(shared, pattern, decode), f"doc_id {id_type}, ids binary" + ", decoded binary" * decode)
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """Adds ``decoded`` (binary) to rows with ids as little-endian 32-bit bytes; null ids give null."""
     ranks = read_ranks(ranks_path)

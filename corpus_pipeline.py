@@ -35,7 +35,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian 32-bit) of every document, whether they decode to its bytes again, and digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, decode=True)
+    coded = byte_bpe.encode_by_words(docs, path, public_tokenizers.PATTERN, decode=True)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
