@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from adloom.plans import batch, dashboards, search, search_batch, star
 from adloom.plans.dates import dim_date
 from adloom.schemas import LANDING, PAYLOADS, WAREHOUSE, landing_schema, payload_schema
-from adloom.session import work_dir
+from adloom.session import COMPILED_BYTES, HUGE_METHOD, work_dir
 from adloom.sinks import files, warehouse
 from adloom.sinks.jdbc import append_jdbc, jdbc_options
 from adloom.sources import lake, messages
@@ -386,6 +386,23 @@ def test_batch_from_lake_to_star(spark, landed):
     assert "unknown" not in {r.gender for r in dashboards.run_sql(spark, "demographic_spend").collect()}
 
 
+def test_bronze_holds_the_columns_of_the_feed(spark, landed, monkeypatch):
+    """Absent columns are neither shuffled nor stored, and wide stages are left to methods the JVM compiles."""
+    root, limits = work_dir(spark, "warehouse"), []
+    read = batch.read_landing
+    monkeypatch.setattr(batch, "read_landing", lambda *x, **y: limits.append(spark.conf.get(HUGE_METHOD)) or read(*x, **y))
+    before = spark.conf.get(HUGE_METHOD)
+    batch.run_batch(spark, landed, root, "load-000001")
+    assert limits == [COMPILED_BYTES] * 2 and spark.conf.get(HUGE_METHOD) == before != COMPILED_BYTES
+    for table in ("fad_ad_daily_report", "fad_age_gender_detailed_report"):
+        path = f"{root}/bronze/{table}/load_id=load-000001"
+        stored = spark.read.parquet(path).columns
+        assert {"id", "spend", "date_stop", "updated_at", "ym"} < {*stored} and "video_plays" not in stored and "created_time" not in stored
+        again = batch.to_bronze(read(spark, landed, table, version="updated_at"), root, table, "load-000002")
+        whole = star.normalise(read(spark, landed, table, version="updated_at"))
+        assert again.schema == whole.schema and rows(again) == rows(whole)
+
+
 def test_batch_without_any_landed_table(spark):
     written = batch.run_batch(spark, work_dir(spark, "lake"), work_dir(spark, "warehouse"), "load-000001")
     assert set(written.values()) == {0}
