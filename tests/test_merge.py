@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import os
+import time
 from decimal import Decimal
 
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from adloom.operators import history, intervals, rollup, sketches
 from adloom.plans import incremental
+from adloom.session import SHUFFLE_CLEANUP
 from adloom.sinks import files, merge, warehouse
 from tests.conftest import plan, rows
 
@@ -160,6 +163,43 @@ def test_incremental_levels_equal_a_full_sum(spark, tmp_path):
     assert _merge_flat(spark, root, 9, []) == []
 
 
+def _shuffled(spark):
+    """Shuffle files that lie on the disk."""
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    return {f for f in env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f and f.endswith(".data")}
+
+
+def test_writes_of_a_merge_leave_no_shuffles(spark, tmp_path, monkeypatch):
+    root, left = str(tmp_path), []
+    finest, stage = rollup.levels_of_finest, merge.Months.stage
+
+    def gone(before):
+        for _ in range(50):
+            if not _shuffled(spark) - before:
+                return True
+            time.sleep(0.2)
+        return False
+
+    def staged(self, *x):
+        before = _shuffled(spark)
+        stage(self, *x)
+        left.append(gone(before))
+
+    def levels(*x):
+        left.append(gone(begun))
+        return finest(*x)
+
+    warehouse.append(_flat(spark, FLAT_LOADS[0]), root, FLAT, "load-0")
+    monkeypatch.setattr(merge.Months, "stage", staged)
+    monkeypatch.setattr(rollup, "levels_of_finest", levels)
+    monkeypatch.setattr(merge, "_touched", lambda df: ["202601", "202602"])  # its small shuffle is not a write's
+    begun = _shuffled(spark)
+    incremental.merge_load(spark, root, FLAT, "load-0", METRICS)
+    assert left == [True, True, True]
+    assert not os.listdir(f"{root}/levels/{FLAT}/differences")
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
 def test_only_the_months_of_a_load_are_read(spark, tmp_path):
     root = str(tmp_path)
     _merge_flat(spark, root, 0, FLAT_LOADS[0])
